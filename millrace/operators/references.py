@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.contracts import Dataset, ForeignKey
 from millrace.errors import ContractError
 from millrace.functions.columns import ref
+from millrace.operators.lookups import rows_with_keys
 
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -18,30 +19,31 @@ def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [ref(c).isNotNull() for c in columns]))
 
 
-def orphan_rows(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFrame:
-    """Rows of `child` whose reference is not in `parent`.
-
-    Catalyst broadcasts the parent's keys if their size allows; otherwise both
-    sides are shuffled and AQE splits a child key that is too frequent.
-    """
-    keys = parent.select(
-        *[ref(p).alias(f"_p{i}") for i, p in enumerate(link.parent_columns)]
-    )
-    on = [ref(c) == F.col(f"_p{i}") for i, c in enumerate(link.columns)]
-    return _complete(child, link.columns).join(keys, on, "left_anti")
-
-
 def orphan_keys(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFrame:
     """The references not in `parent`, each with its number of `child` rows (`rows`).
 
-    Counting comes before the join, so a frequent key is one row there.
+    Both sides are brought to one row per key before they meet, so a frequent
+    key weighs no more than another.
     """
     per_key = (
         _complete(child, link.columns)
         .groupBy(*[ref(c) for c in link.columns])
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    return orphan_rows(per_key, parent, link)
+    known = parent.select(
+        *[ref(p).alias(f"_p{i}") for i, p in enumerate(link.parent_columns)]
+    ).distinct()
+    on = [ref(c) == F.col(f"_p{i}") for i, c in enumerate(link.columns)]
+    return per_key.join(known, on, "left_anti")
+
+
+def orphan_rows(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFrame:
+    """Rows of `child` whose reference is not in `parent`.
+
+    Finding the orphan keys moves keys only; `child` rows are then picked by
+    them, mostly without a shuffle because orphans are few.
+    """
+    return rows_with_keys(child, orphan_keys(child, parent, link), link.columns)
 
 
 def reference_report(

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import ref
+from millrace.operators.lookups import rows_with_keys
+from millrace.operators.quality import duplicate_keys
 from millrace.sinks.logs import FAILED, SUCCESS
 
 
@@ -25,13 +27,15 @@ def run_outcomes(audit: DataFrame) -> DataFrame:
     return audit.groupBy("status", "dataset_name").agg(F.count(F.lit(1)).alias("attempts"))
 
 
-def duplicate_loads(metadata: DataFrame, by: Sequence[str] = ("dataset_name", "checksum")) -> DataFrame:
+def duplicate_loads(
+    metadata: DataFrame, by: Sequence[str] = ("dataset_name", "checksum")
+) -> DataFrame:
     """Content that was loaded more than once, with the number of loads."""
-    return metadata.groupBy(*[ref(c) for c in by]).agg(F.count(F.lit(1)).alias("loads")).where("loads > 1")
+    return duplicate_keys(metadata, by, counter="loads")
 
 
 def already_loaded(
     manifest: DataFrame, metadata: DataFrame, by: Sequence[str] = ("checksum",)
 ) -> DataFrame:
     """Rows of `manifest` whose content the metadata log knows."""
-    return manifest.join(metadata.select(*by), list(by), "left_semi")
+    return rows_with_keys(manifest, metadata, by)

@@ -30,18 +30,42 @@ def conform(
     return transform(typed, contract, newest_by=newest, hooks=hooks)
 
 
-def publish_gated(df: DataFrame, contract: Dataset) -> QualityReport:
+def gated(
+    df: DataFrame, contract: Dataset, path: str, keys_are_unique: bool = False
+) -> tuple[DataFrame, QualityReport]:
+    """`df` written to `path` and read back, once it has passed the gate; raise if not.
+
+    Rows are computed once. The gate reads only the checked columns of what
+    was written.
+    """
+    clustered(df, contract.partition_columns).write.parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    return written, gate(written, contract, keys_are_unique)
+
+
+def conform_and_publish(
+    df: DataFrame, contract: Dataset, hooks: MutableMapping[str, Hook] = HOOKS
+) -> QualityReport:
+    """`conform`, then `publish_gated`; deduplicated keys that no hook has touched are unique."""
+    deduplicated = contract.drop_duplicates and bool(contract.primary_key)
+    return publish_gated(
+        conform(df, contract, hooks),
+        contract,
+        keys_are_unique=deduplicated and contract.name not in hooks,
+    )
+
+
+def publish_gated(
+    df: DataFrame, contract: Dataset, keys_are_unique: bool = False
+) -> QualityReport:
     """Publish `df` if it passes the gate, raise and publish nothing if not.
 
-    The rows are computed once, into staging. The gate then reads only the
-    checked columns of it, and publishing copies it without a shuffle.
+    From staging to the table, rows are copied without a shuffle.
     """
     spark = df.sparkSession
     staging = scratch_path(spark, f"silver-{contract.name}")
     try:
-        clustered(df, contract.partition_columns).write.parquet(staging)
-        staged = spark.read.parquet(staging)
-        report = gate(staged, contract)
+        staged, report = gated(df, contract, staging, keys_are_unique)
         write_table(
             staged,
             contract.silver_path,
@@ -64,4 +88,4 @@ def run_silver(
     hooks: MutableMapping[str, Hook] = HOOKS,
 ) -> QualityReport:
     """Read, conform, check and publish one dataset."""
-    return publish_gated(conform(read_bronze(spark, contract, load_dates), contract, hooks), contract)
+    return conform_and_publish(read_bronze(spark, contract, load_dates), contract, hooks)

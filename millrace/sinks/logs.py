@@ -46,10 +46,13 @@ def append_record(spark: SparkSession, record: dict, path: str, schema: T.Struct
     Two jobs that append to the same folder at once would share its temporary
     files and could lose a row.
     """
-    fields = T.StructType([f for f in schema.fields if f.name != "run_id"])
-    row = tuple(record[name] for name in fields.names)
+    values = [
+        F.lit(record[f.name]).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+        if f.name != "run_id"
+    ]
     folder = f"{path}/run_id={quote(record['run_id'], safe='')}"
-    spark.createDataFrame([row], fields).coalesce(1).write.mode("append").parquet(folder)
+    spark.range(1, numPartitions=1).select(*values).write.mode("append").parquet(folder)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.contracts import Dataset
-from millrace.plans.silver import conform, publish_gated
+from millrace.plans.silver import conform_and_publish
 from millrace.plans.transform import HOOKS, Hook
 from millrace.sources.readers import CSV_READ_OPTIONS
 
@@ -64,7 +64,7 @@ def merge_new_files(
     """
 
     def publish(batch: DataFrame, _: int) -> None:
-        publish_gated(conform(batch, contract, hooks), contract)
+        conform_and_publish(batch, contract, hooks)
 
     query = (
         stream.writeStream.foreachBatch(publish)
