@@ -3,6 +3,8 @@
 Spark's `try_cast` of malformed text to a number or truth value throws and
 catches an exception per value, some hundred times the cost of a good value.
 A pattern therefore sorts out such text first; what it lets through casts.
+Matching costs more than casting, so text that looks like a number at a glance
+is cast at once, and only if that gives NULL does the pattern decide.
 """
 
 from __future__ import annotations
@@ -41,19 +43,28 @@ def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
         if type(target) in _WHOLE_NUMBERS:
             return _text_to_whole_number(value, target)
         if type(target) in _GUARDS:
-            return F.when(value.rlike(_GUARDS[type(target)]), value.try_cast(target))
+            checked = F.when(value.rlike(_GUARDS[type(target)]), value.try_cast(target))
+            if type(target) in (T.FloatType, T.DoubleType):
+                likely = F.when(_starts_like_a_number(value, 17), value.try_cast(target))
+                return F.coalesce(likely, checked)
+            return checked
     return value.try_cast(target)
 
 
+def _starts_like_a_number(value: Column, longest: int) -> Column:
+    """Short and a digit first: tests that copy no text and stay small when compiled."""
+    return (F.octet_length(value) <= longest) & (value >= "0") & (value < ":")
+
+
 def _text_to_whole_number(value: Column, target: T.DataType) -> Column:
     digits = _WHOLE_NUMBERS[type(target)]
-    plain = rf"^[+-]?\d{{1,{digits - 1}}}$"
+    likely = _starts_like_a_number(value, digits - 1) & ~value.contains(".")
     # Sign, then digits after leading zeros; a fraction is cut off. A digit or
     # the point must be there.
     loose = rf"^{_EDGE}([+-]?)(?=[\d.])0*(\d{{0,{digits}}})(?:\.\d*)?{_EDGE}$"
     # The zero between sign and digits stands in for those missing in '.5'.
     number = F.regexp_replace(value, loose, "$10$2")
     return F.coalesce(
-        F.when(value.rlike(plain), value.cast(target)),
+        F.when(likely, value.try_cast(target)),
         F.when(value.rlike(loose), number.try_cast(target)),
     )

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import ref
 from millrace.session import scratch_path
 
-# A key set of at most this many rows is sent to all tasks; the count is taken
-# from the written set before the join is planned.
+# A key set of at most this many rows and bytes of text is sent to all tasks;
+# both are taken from the written set before the join is planned.
 BROADCAST_KEYS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -26,6 +27,10 @@ def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFra
     path = scratch_path(spark, "keys")
     keys.select(*[ref(c) for c in on]).distinct().write.parquet(path)
     written = spark.read.parquet(path)
-    if written.count() <= BROADCAST_KEYS:
+    text = F.concat_ws("", *[ref(c).cast("string") for c in on])
+    size = written.agg(
+        F.count(F.lit(1)).alias("keys"), F.sum(F.octet_length(text)).alias("bytes")
+    ).first()
+    if size["keys"] <= BROADCAST_KEYS and (size["bytes"] or 0) <= BROADCAST_BYTES:
         written = F.broadcast(written)
     return df.join(written, list(on), "left_semi")

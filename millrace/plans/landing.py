@@ -18,14 +18,12 @@ from millrace.functions.columns import ref
 from millrace.functions.digests import combined_md5, row_md5
 from millrace.functions.runs import new_run_id, utc_now
 from millrace.sinks.logs import AUDIT_SCHEMA, FAILED, METADATA_SCHEMA, SUCCESS, append_record
-from millrace.sources.files import folder_checksum, list_files
-from millrace.sources.readers import CSV_READ_OPTIONS, all_strings, read_table
+from millrace.sources.files import combined_checksum, file_manifest, list_files
+from millrace.sources.readers import CSV_READ_OPTIONS, LOAD_DATE, all_strings, read_table
 
-LOAD_DATE = "load_date"
-
-# Up to this size of the largest file the checksum is the MD5 of the bytes, for
-# which a file is held by one task. Beyond it rows are digested instead, in the
-# copying pass and over all tasks; such a checksum begins with ROWS_PREFIX.
+# Up to this size of the largest file the checksum is the MD5 of the bytes, which
+# one task per file has to read in order. Beyond it rows are digested instead, in
+# the copying pass and over all tasks; such a checksum begins with ROWS_PREFIX.
 MD5_LIMIT_BYTES = 1 << 30
 ROWS_PREFIX = "rows:"
 
@@ -204,8 +202,8 @@ def land(
         if digest_rows:
             checksum = f"{ROWS_PREFIX}{checksum}"
         else:
-            files = list_files(spark, contract.source_path)
-            checksum = folder_checksum(files).first()["checksum"]
+            manifest = file_manifest(spark, contract.source_path)
+            checksum = combined_checksum(manifest).first()["checksum"]
         record = {
             "dataset_name": contract.name,
             "source_file_name": file_name,

@@ -13,9 +13,7 @@ from millrace.operators.schema import enforce_schema
 from millrace.plans.transform import HOOKS, Hook, transform
 from millrace.session import drop_path, scratch_path
 from millrace.sinks.tables import clustered, write_table
-from millrace.sources.readers import read_bronze
-
-LOAD_DATE = "load_date"
+from millrace.sources.readers import LOAD_DATE, read_bronze
 
 
 def conform(

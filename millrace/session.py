@@ -28,6 +28,9 @@ def session_settings(environ: Mapping[str, str]) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
+        # The JVM does not compile larger methods; for a wide table's casts
+        # Spark's operator-by-operator code is faster than interpreting one.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings |= {key: environ[var] for var, key in _FROM_ENVIRONMENT.items() if environ.get(var)}
     if "spark.hadoop.fs.s3a.endpoint" in settings:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pa_fs
@@ -37,21 +37,28 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     )
 
 
-def _md5_in_blocks(paths: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """MD5 of whole files read block by block, for files too large for one value."""
-    for batch in paths:
-        rows = batch.to_pylist()
-        for row in rows:
-            digest = hashlib.md5()
-            # Object stores have other scheme names outside Hadoop.
-            uri = re.sub(r"^s3[an]://", "s3://", row["path"])
-            filesystem, path = pa_fs.FileSystem.from_uri(uri)
-            with filesystem.open_input_stream(path) as stream:
-                while block := stream.read(_BLOCK_BYTES):
-                    digest.update(block)
-            row["checksum"] = digest.hexdigest()
-            del row["path"]
-        yield pa.RecordBatch.from_pylist(rows, schema=_MANIFEST_ARROW)
+def _block_md5() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """MD5 of whole files read block by block, for files too large for one value.
+
+    An inner function travels to the workers as it is, so that they need not
+    have this package.
+    """
+
+    def digest_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            for row in rows:
+                digest = hashlib.md5()
+                # Object stores have other scheme names outside Hadoop.
+                uri = re.sub(r"^s3[an]://", "s3://", row.pop("path"))
+                filesystem, path = pa_fs.FileSystem.from_uri(uri)
+                with filesystem.open_input_stream(path) as stream:
+                    while block := stream.read(_BLOCK_BYTES):
+                        digest.update(block)
+                row["checksum"] = digest.hexdigest()
+            yield pa.RecordBatch.from_pylist(rows, schema=_MANIFEST_ARROW)
+
+    return digest_files
 
 
 def file_manifest(
@@ -60,26 +67,27 @@ def file_manifest(
     pattern: str | None = None,
     whole_up_to: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
-    """Name, size and MD5 of each file.
+    """Name, size and MD5 of each file; a job over the listing comes first.
 
     Files up to `whole_up_to` bytes are digested by Spark as one value each,
-    larger ones block by block; tasks are spread over files either way.
+    larger ones, if there are any, block by block. Tasks are spread over files.
     """
     files = list_files(spark, path, pattern)
     small = files.where(F.col("file_size_bytes") <= whole_up_to)
     large = files.where(F.col("file_size_bytes") > whole_up_to)
-    return small.select(
-        "file_name", "file_size_bytes", F.md5("content").alias("checksum")
-    ).unionByName(
+    manifest = small.select("file_name", "file_size_bytes", F.md5("content").alias("checksum"))
+    if large.select("path").isEmpty():
+        return manifest
+    return manifest.unionByName(
         large.select("path", "file_name", "file_size_bytes").mapInArrow(
-            _md5_in_blocks, "file_name string, file_size_bytes long, checksum string"
+            _block_md5(), "file_name string, file_size_bytes long, checksum string"
         )
     )
 
 
-def folder_checksum(files: DataFrame) -> DataFrame:
-    """One MD5 for all of `list_files`; for a single file it is that file's own."""
-    return files.agg(combined_md5(F.md5("content")).alias("checksum"))
+def combined_checksum(manifest: DataFrame) -> DataFrame:
+    """One MD5 for all files of a manifest; for a single file it is that file's own."""
+    return manifest.agg(combined_md5(F.col("checksum")).alias("checksum"))
 
 
 def check_sources(expected: DataFrame, files: DataFrame, key: str) -> DataFrame:

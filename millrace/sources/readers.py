@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from millrace.contracts import Dataset
 from millrace.errors import ReadError
 
+# The partition column of landed tables.
+LOAD_DATE = "load_date"
+
 # A doubled quote inside a quoted field is one quote; each file's header is
 # held against the schema, so files with another column order are not mixed up.
 CSV_READ_OPTIONS = {"header": "true", "escape": '"', "enforceSchema": "false"}
@@ -66,17 +69,19 @@ def read_bronze(
     )
     if load_dates is None:
         return df
+    if LOAD_DATE not in df.columns:
+        raise ReadError(f"{contract.name}: no load dates below {contract.bronze_path}")
     if load_dates == "latest":
         return latest_snapshot(df, contract.bronze_path)
     return replay(df, load_dates)
 
 
-def replay(df: DataFrame, load_dates: Sequence[date], column: str = "load_date") -> DataFrame:
+def replay(df: DataFrame, load_dates: Sequence[date], column: str = LOAD_DATE) -> DataFrame:
     """Rows of the given load dates; only their folders are read."""
     return df.where(F.col(column).isin([F.lit(d) for d in load_dates]))
 
 
-def latest_snapshot(df: DataFrame, path: str, column: str = "load_date") -> DataFrame:
+def latest_snapshot(df: DataFrame, path: str, column: str = LOAD_DATE) -> DataFrame:
     """Rows of the newest load date below `path`.
 
     The date comes from the file listing, not from the rows, and prunes the

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from millrace.contracts import Dataset
 from millrace.plans.silver import conform_and_publish
 from millrace.plans.transform import HOOKS, Hook
-from millrace.sources.readers import CSV_READ_OPTIONS
+from millrace.sources.readers import CSV_READ_OPTIONS, LOAD_DATE
 
 
 def read_new_files(
@@ -39,9 +39,9 @@ def land_new_files(
     are kept too; keys are made unique by the conforming step.
     """
     query = (
-        stream.withColumn("load_date", F.current_date() if load_date is None else load_date)
+        stream.withColumn(LOAD_DATE, F.current_date() if load_date is None else load_date)
         .writeStream.format("parquet")
-        .partitionBy("load_date")
+        .partitionBy(LOAD_DATE)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -41,6 +41,9 @@ INTEGERS = [
     ("1e3", None),
     ("1,000", None),
     ("12a", None),
+    ("5 ", 5),
+    ("2024-01-02", None),
+    ("10:30", None),
     ("1 2", None),
     ("--1", None),
     ("1.2.3", None),

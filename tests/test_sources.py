@@ -64,6 +64,13 @@ def test_contract_needs_path_and_format(gap):
         read_bronze(None, Dataset("d", struct(), **given))
 
 
+def test_load_dates_must_exist(spark, csv):
+    contract = Dataset("d", struct(), bronze_path=csv)
+    assert read_bronze(spark, contract).count() == 4
+    with pytest.raises(ReadError, match="no load dates"):
+        read_bronze(spark, contract, "latest")
+
+
 def test_profile(spark, csv):
     row = table_profile(read_table(spark, csv, "csv"), "a").first()
     assert tuple(row) == ("a", 4, 2, "id,name")
