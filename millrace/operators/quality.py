@@ -81,6 +81,15 @@ def table_facts(df: DataFrame, checked: Sequence[str], key: Sequence[str]) -> Da
     )
 
 
+def surplus_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row: rows, keys that occur more than once, and rows a dedup by `key` removes."""
+    return table_facts(df, [], key).select(
+        F.col("total").alias("row_count"),
+        F.col("duplicates").alias("duplicate_keys"),
+        F.col("surplus").alias("surplus_rows"),
+    )
+
+
 @dataclass(frozen=True)
 class _Plan:
     """Which checks a contract asks for, given the columns that are there."""

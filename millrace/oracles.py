@@ -160,6 +160,9 @@ ORACLES: dict[str, str] = {
     + f" from ({_GAPPY_ORDERS})",
     "duplicate_keys": "select l_orderkey, l_linenumber, count(*) as copies from lineitem "
     "group by all having count(*) > 1",
+    "surplus_rows": "select sum(n)::bigint as row_count, "
+    "count(*) filter (n > 1) as duplicate_keys, sum(n - 1)::bigint as surplus_rows from "
+    "(select count(*) as n from lineitem group by l_orderkey, l_linenumber)",
     "quality_report": f"""
         with g as ({_GAPPY_ORDERS}), n as (select count(*) as total_records from g),
         checks as (

@@ -247,6 +247,11 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.duplicate_keys(table(spark, sf_dir, "lineitem"), fx.LINEITEM.primary_key)
 
 
+@query
+def surplus_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.surplus_rows(table(spark, sf_dir, "lineitem"), fx.LINEITEM.primary_key)
+
+
 @query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = replace(
