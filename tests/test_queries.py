@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from millrace.oracles import CHECKED_DIR
+from millrace.oracles import CHECKED_DIR, ORACLES
+from millrace.queries import QUERIES
 from tests.compare import connect, differences
 
 
@@ -15,15 +16,17 @@ def connection():
     return connect(CHECKED_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, connection, name):
     df = driver.queries()[name](spark, CHECKED_DIR)
     assert differences(df, connection, driver.oracle_sql()[name]) == ""
 
 
 def test_every_query_has_an_oracle_and_rows(connection):
-    assert set(driver.queries()) == set(driver.oracle_sql())
-    for name, sql in driver.oracle_sql().items():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
+    for name, sql in ORACLES.items():
         assert connection.execute(f"select count(*) from ({sql})").fetchone()[0] > 0, name
 
 
