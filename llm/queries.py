@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import simhash_trie
-from llm.common import table
+from llm import hilbert_shards, pareto_mix, simhash_trie
+from llm.common import Scratch, numbered, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,7 +22,26 @@ def query(function: Query) -> Query:
 
 @query
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = simhash_trie.numbered(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
     found = simhash_trie.near_duplicates(docs)
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "row")
+    found = pareto_mix.sampled(docs, Scratch(spark, "mix"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return found.select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hilbert_shards.sharded(table(spark, sf_dir, "documents"))
+    return found.select(
+        *["doc_id", "size", "text_crc32"],
+        F.lit("rows").alias("law"),
+        *["shard", "slot"],
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import Scratch, append_columns, fresh, utf8
+from llm.common import Scratch, append_columns, fresh, numbered, utf8
 from llm.components import components
 
 BITS = 64
@@ -291,11 +291,6 @@ def near_duplicates(docs: DataFrame, errors: int = 3, words: int = 3) -> DataFra
     )
 
 
-def numbered(docs: DataFrame, column: str) -> DataFrame:
-    """`docs` with a number of its own per row, the same whenever the same files are read."""
-    return docs.withColumn(column, F.monotonically_increasing_id())
-
-
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The documents that `near_duplicates` keeps, with all their columns."""
     row = fresh(docs, "row")
