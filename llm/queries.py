@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import hilbert_shards, pareto_mix, simhash_trie
-from llm.common import Scratch, numbered, table
+from llm import (
+    hilbert_shards,
+    letter_profiles,
+    pareto_mix,
+    simhash_trie,
+    tier_packing,
+    token_transducer,
+    weighted_minhash,
+)
+from llm.common import Scratch, in_fold, numbered, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +53,29 @@ def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         *["shard", "slot"],
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op3_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tier_packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_transducer.counted(table(spark, sf_dir, "documents"))
+    over = F.col("n_tokens") > 512
+    return found.select("doc_id", "n_bytes", "n_tokens", over.alias("over_limit"))
+
+
+@query
+def op9_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.fingerprinted(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_letter_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 4, 2)
+    learned = letter_profiles.prototypes(docs.where(~held_out))
+    docs = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return letter_profiles.with_language(docs, learned, ("lang_pred", "score")).drop("text")
