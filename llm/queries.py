@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import (
+    context_trees,
     hilbert_shards,
     letter_profiles,
     pareto_mix,
     simhash_trie,
     tier_packing,
     token_transducer,
+    toxicity_models,
     weighted_minhash,
 )
 from llm.common import Scratch, in_fold, numbered, table
@@ -79,3 +81,20 @@ def op2_letter_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = letter_profiles.prototypes(docs.where(~held_out))
     docs = docs.select("doc_id", "text", held_out.alias("held_out"))
     return letter_profiles.with_language(docs, learned, ("lang_pred", "score")).drop("text")
+
+
+@query
+def op6_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", in_fold("doc_id", 5, 1).alias("held_out"))
+    return context_trees.scored(docs, "held_out")
+
+
+@query
+def op7_toxicity_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fit = toxicity_models.fitted(docs, table(spark, sf_dir, "labels"))
+    docs = docs.select("doc_id", "text", in_fold("doc_id", 4, 2).alias("held_out"))
+    scored = toxicity_models.with_score(docs, fit, "score").drop("text")
+    predicted = (F.col("score") >= toxicity_models.THRESHOLD).cast("int")
+    return scored.withColumn("predicted", predicted)
