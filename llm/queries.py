@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from llm import (
     context_trees,
     hilbert_shards,
+    itq_dedup,
     letter_profiles,
     pareto_mix,
     simhash_trie,
@@ -98,3 +99,8 @@ def op7_toxicity_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity_models.with_score(docs, fit, "score").drop("text")
     predicted = (F.col("score") >= toxicity_models.THRESHOLD).cast("int")
     return scored.withColumn("predicted", predicted)
+
+
+@query
+def op1_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
