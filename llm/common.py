@@ -14,6 +14,7 @@ from millrace.session import drop_path, scratch_path
 
 # Rows handled at once inside a Python task; bounds what a batch of long texts holds.
 SLICE_ROWS = 256
+SLICE_BYTES = 1 << 23
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,10 +62,15 @@ class Scratch:
         drop_path(self.spark, df._scratch)
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS
+) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most `rows` rows, and of about SLICE_BYTES."""
     for batch in batches:
-        for start in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(start, SLICE_ROWS)
+        fit = batch.num_rows * SLICE_BYTES // max(1, batch.nbytes)
+        step = max(1, min(rows, fit))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
 
 
 def append_columns(

@@ -24,6 +24,7 @@ from heapq import heapreplace
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -37,44 +38,94 @@ TIERS = (512, 1024, 2048, 4096)
 STEP_GROUPS = 64
 # Remainders in a task's pool: it is packed down to the first number when it reaches the second.
 POOL = (1024, 4096)
-# Words whose ids a worker remembers, and the longest one remembered.
-CACHE_WORDS = 500_000
-CACHE_LENGTH = 48
+# Words whose ids a worker remembers, and how many are encoded at once.
+CACHE_WORDS = 1_000_000
+TOGETHER = 200
+# Texts whose words are looked up at once.
+TEXTS = 4096
+# ASCII punctuation but for the apostrophe, which begins words of its own.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # White space for str.split that the vocabulary's own rules take as text.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 
 
 class WordIds:
-    """Token ids of texts. White space separates tokens and has none, so words are encoded alone."""
+    """Token ids of texts. White space separates tokens and has none, so words are encoded alone.
+
+    A word is a stem and the ASCII punctuation behind it, which the vocabulary's
+    rules always part, so that a stem is encoded once for all its endings.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, from one text that holds them all."""
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        starts = np.cumsum(lengths) - lengths
+        at = np.array([o[0] for o in found.offsets], np.int64)
+        edges = [*np.searchsorted(at, starts).tolist(), len(at)]
+        raw = np.array(found.ids, "<u4").tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
+
+    def _learn(self, missing: list[str]) -> None:
+        split = {w: _split(w) for w in missing}
+        new = list({p for parts in split.values() for p in parts}.difference(self.parts))
+        for at in range(0, len(new), TOGETHER):
+            block = new[at : at + TOGETHER]
+            self.parts.update(zip(block, self._together(block), strict=True))
+        known = self.parts
+        for word, parts in split.items():
+            self.words[word] = known[parts[0]] + (known[parts[1]] if len(parts) > 1 else b"")
+
+    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words behind each other, and how many each has."""
+        missing = [w for w in words if w not in self.words]
+        if len(self.words) + len(missing) > CACHE_WORDS:
+            self.words.clear()
+            self.parts.clear()
+            missing = words
+        self._learn(missing)
+        found = list(map(self.words.__getitem__, words))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        return np.frombuffer(b"".join(found), "<u4"), lengths
 
     def __call__(self, texts: list[str | None], end: int = END) -> list[np.ndarray]:
-        split = []
-        for text in texts:
-            text = text or ""
-            split.append([text] if _NOT_SPACE.search(text) else text.split())
-        known = self.known
-        missing = list({w for words in split for w in words if w not in known})
-        fresh = dict(zip(missing, self._encode(missing), strict=True)) if missing else {}
-        if len(known) + len(fresh) > CACHE_WORDS:
-            fresh |= {w: known[w] for words in split for w in words if w in known}
-            known.clear()
-        tail = np.array([end], "<u4").tobytes()
+        odd = [bool(_NOT_SPACE.search(t)) if t else False for t in texts]
+        plain = pa.array(["" if o else t or "" for t, o in zip(texts, odd, strict=True)], pa.string())
+        lists = pc.utf8_split_whitespace(plain)
+        coded = lists.flatten().dictionary_encode()
+        index = coded.indices.to_numpy()
+        flat, lengths = self._flat(coded.dictionary.to_pylist())
+        sizes = lengths[index]
+        # Where each occurrence's ids begin in `flat`, stepped through id by id.
+        begin = (np.cumsum(lengths) - lengths)[index]
+        before = np.cumsum(sizes) - sizes
+        ids = flat[np.repeat(begin - before, sizes) + np.arange(int(sizes.sum()))]
+        edges = np.concatenate([[0], np.cumsum(sizes)])[lists.offsets.to_numpy()]
+        tail = np.array([end], "<u4")
         out = []
-        for words in split:
-            ids = [known.get(w) or fresh.get(w, b"") for w in words]
-            out.append(np.frombuffer(b"".join([*ids, tail]), "<u4"))
-        known.update((w, i) for w, i in fresh.items() if len(w) <= CACHE_LENGTH)
+        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            own = np.frombuffer(self._alone(texts[i]), "<u4") if odd[i] else ids[a:b]
+            out.append(np.concatenate([own, tail]))
         return out
 
 
+def _split(word: str) -> tuple[str, ...]:
+    stem = word.rstrip(PUNCTUATION)
+    if not stem or "<|" in word or not stem[-1].lower()[-1].isalpha():
+        return (word,)
+    ending = word[len(stem) :]
+    stem = stem.lower() if stem.isascii() else stem
+    return (stem, ending) if ending else (stem,)
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
@@ -168,7 +219,7 @@ def packed(docs: DataFrame, path: str | None = None, tiers=TIERS) -> DataFrame:
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for part in slices(batches):
+        for part in slices(batches, TEXTS):
             kinds = kinds or [part.column(0).type, *[pa.int64()] * 6, pa.int32(), pa.int32()]
             texts = part.column(1).to_pylist()
             for doc_id, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
