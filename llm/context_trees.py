@@ -292,7 +292,8 @@ class Table:
         self.contexts = {}
         for size in range(DEPTH + 1):
             mine = np.flatnonzero(length == size)
-            keys = context[mine].astype(np.uint64)
+            # Contexts of up to four bytes; narrow keys keep the searched array in cache.
+            keys = context[mine].astype(np.uint32)
             order = np.argsort(keys)
             self.contexts[size] = (keys[order], mine[order])
 
@@ -303,10 +304,10 @@ class Table:
             pair = grams >> np.uint64(8) & np.uint64(0xFFFF)
             grams = grams[pair % np.uint64(self.blocks) == self.number]
         column = self.column[(grams & np.uint64(255)).astype(np.int64)]
-        context, total = grams >> np.uint64(8), 0.0
+        context, total = (grams >> np.uint64(8)).astype(np.uint32), 0.0
         for size in range(DEPTH, -1, -1):
             keys, place = self.contexts[size]
-            at, known = lookup(keys, suffix(context, size))
+            at, known = lookup(keys, context & np.uint32((1 << (8 * size)) - 1))
             if known.any():
                 total += float(self.rows[place[at[known]], column[known]].sum(dtype=float))
             context, column = context[~known], column[~known]
