@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
 from millrace.errors import ContractError
+from millrace.functions.columns import standard_name
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,7 @@ class Dataset:
     compression: str = "snappy"
     partition_columns: tuple[str, ...] = ()
     drop_duplicates: bool = True
+    version: tuple[str, ...] = ()
 
     @property
     def required_columns(self) -> tuple[str, ...]:
@@ -50,6 +52,23 @@ class Dataset:
             return self.required
         return tuple(f.name for f in self.schema.fields if not f.nullable)
 
+    def conformed(self) -> Dataset:
+        """The contract of the conformed table, whose columns have standard names."""
+        named = lambda names: tuple(standard_name(n) for n in names)
+        fields = [
+            T.StructField(standard_name(f.name), f.dataType, f.nullable) for f in self.schema.fields
+        ]
+        links = tuple(replace(k, columns=named(k.columns)) for k in self.foreign_keys)
+        return replace(
+            self,
+            schema=T.StructType(fields),
+            primary_key=named(self.primary_key),
+            required=None if self.required is None else named(self.required),
+            partition_columns=named(self.partition_columns),
+            version=named(self.version),
+            foreign_keys=links,
+        )
+
 
 def struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
     """Schema from (name, type, nullable) triples."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,11 @@ def repeated(names: Iterable[str]) -> list[str]:
     for name in names:
         seen[name.lower()] = seen.get(name.lower(), 0) + 1
     return sorted(name for name, n in seen.items() if n > 1)
+
+
+def unused(name: str, taken: Iterable[str]) -> str:
+    """`name`, lengthened until it is none of `taken`; Spark ignores case in names."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import TransformError
-from millrace.functions.columns import ref
+from millrace.functions.columns import ref, unused
 
 
 def _sortable(field: T.StructField) -> Column:
@@ -42,4 +42,5 @@ def dedup_by_key(
     ]
     order = newest + rest or [F.lit(0)]
     window = Window.partitionBy(*[ref(c) for c in key]).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    rank = unused("_rank", df.columns)
+    return df.withColumn(rank, F.row_number().over(window)).where(ref(rank) == 1).drop(rank)

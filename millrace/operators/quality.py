@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import Dataset
 from millrace.errors import QualityError
-from millrace.functions.columns import ref
+from millrace.functions.columns import ref, unused
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,11 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str], counter: str = "copies") -> DataFrame:
-    """Keys that occur more than once and how often; NULL keys count as one key."""
+    """Keys that occur more than once and how often; NULL keys count as one key.
+
+    A key column called like the counter lengthens the counter's name.
+    """
+    counter = unused(counter, key)
     return (
         df.groupBy(*[ref(c) for c in key])
         .agg(F.count(F.lit(1)).alias(counter))
@@ -162,9 +166,9 @@ def evaluate(df: DataFrame, contract: Dataset, keys_are_unique: bool = False) ->
     nulls = {c: facts[f"n{i}"] for i, c in enumerate(plan.checked)}
     errors = []
     if plan.missing_required:
-        errors.append(f"Missing required columns: {', '.join(plan.missing_required)}")
+        errors.append(f"required, but not in the table: {', '.join(plan.missing_required)}")
     if plan.missing_key:
-        errors.append(f"Missing key columns: {', '.join(plan.missing_key)}")
+        errors.append(f"part of the key, but not in the table: {', '.join(plan.missing_key)}")
     errors += [f"Required column '{c}' has {nulls[c]} NULL(s)" for c in plan.required if nulls[c]]
     errors += [f"Key column '{c}' has {nulls[c]} NULL(s)" for c in plan.key_only if nulls[c]]
     if facts["duplicates"]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import Dataset, ForeignKey
 from millrace.errors import ContractError
-from millrace.functions.columns import ref
+from millrace.functions.columns import ref, unused
 from millrace.operators.lookups import rows_with_keys
 
 
@@ -20,20 +20,24 @@ def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFrame:
-    """The references not in `parent`, each with its number of `child` rows (`rows`).
+    """The references not in `parent`, each with its number of `child` rows.
+
+    The number is the last column, `rows` unless a reference is called so.
 
     Both sides are brought to one row per key before they meet, so a frequent
     key weighs no more than another.
     """
+    counter = unused("rows", link.columns)
     per_key = (
         _complete(child, link.columns)
         .groupBy(*[ref(c) for c in link.columns])
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias(counter))
     )
+    names = [unused(f"_p{i}", link.columns) for i in range(len(link.columns))]
     known = parent.select(
-        *[ref(p).alias(f"_p{i}") for i, p in enumerate(link.parent_columns)]
+        *[ref(p).alias(n) for p, n in zip(link.parent_columns, names, strict=True)]
     ).distinct()
-    on = [ref(c) == F.col(f"_p{i}") for i, c in enumerate(link.columns)]
+    on = [ref(c) == F.col(n) for c, n in zip(link.columns, names, strict=True)]
     return per_key.join(known, on, "left_anti")
 
 
@@ -54,9 +58,10 @@ def reference_report(
         raise ContractError(f"{contract.name} declares no references")
     parts = []
     for link in contract.foreign_keys:
-        totals = orphan_keys(child, parents[link.parent], link).agg(
+        found = orphan_keys(child, parents[link.parent], link)
+        totals = found.agg(
             F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("orphan_rows"),
+            F.coalesce(F.sum(ref(found.columns[-1])), F.lit(0)).cast("long").alias("orphan_rows"),
         )
         parts.append(
             totals.select(

@@ -267,4 +267,10 @@ ORACLES: dict[str, str] = {
     "incremental_landing": "select event_id, ts, user_id, event_type, value, props, "
     "ts::date as load_date from events",
     "incremental_merge": _one_per_key("events", fx.EVENTS.schema.names, ["user_id"], "ts"),
+    "upsert_moved_rows": """
+        select * replace (if(o_orderstatus = 'P', 'F', o_orderstatus) as o_orderstatus) from orders
+    """,
+    "silver_republished": """
+        select * replace (if(o_orderstatus = 'P', 'O', o_orderstatus) as o_orderstatus) from orders
+    """,
 }

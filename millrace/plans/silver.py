@@ -25,7 +25,8 @@ def conform(
     """
     newest = [LOAD_DATE] if LOAD_DATE in df.columns else []
     typed = enforce_schema(df, contract.schema, contract.name, keep=newest)
-    return transform(typed, contract, newest_by=newest, hooks=hooks)
+    order = [*contract.version, *newest]
+    return transform(typed, contract, newest_by=order, hooks=hooks)
 
 
 def gated(
@@ -42,7 +43,10 @@ def gated(
 
 
 def conform_and_publish(
-    df: DataFrame, contract: Dataset, hooks: MutableMapping[str, Hook] = HOOKS
+    df: DataFrame,
+    contract: Dataset,
+    hooks: MutableMapping[str, Hook] = HOOKS,
+    whole: bool = True,
 ) -> QualityReport:
     """`conform`, then `publish_gated`; deduplicated keys that no hook has touched are unique."""
     deduplicated = contract.drop_duplicates and bool(contract.primary_key)
@@ -50,17 +54,21 @@ def conform_and_publish(
         conform(df, contract, hooks),
         contract,
         keys_are_unique=deduplicated and contract.name not in hooks,
+        whole=whole,
     )
 
 
 def publish_gated(
-    df: DataFrame, contract: Dataset, keys_are_unique: bool = False
+    df: DataFrame, contract: Dataset, keys_are_unique: bool = False, whole: bool = True
 ) -> QualityReport:
     """Publish `df` if it passes the gate, raise and publish nothing if not.
 
+    An overwrite with the `whole` dataset leaves no partition of an earlier one;
+    with a part of it, partitions without rows in `df` stay as they are.
     From staging to the table, rows are copied without a shuffle.
     """
     spark = df.sparkSession
+    contract = contract.conformed()
     staging = scratch_path(spark, f"silver-{contract.name}")
     try:
         staged, report = gated(df, contract, staging, keys_are_unique)
@@ -72,7 +80,9 @@ def publish_gated(
             compression=contract.compression,
             partition_columns=contract.partition_columns,
             key=contract.primary_key,
+            version=contract.version,
             rows_are_clustered=True,
+            whole=whole,
         )
         return report
     finally:
@@ -85,5 +95,7 @@ def run_silver(
     load_dates: str | Sequence[date] | None = None,
     hooks: MutableMapping[str, Hook] = HOOKS,
 ) -> QualityReport:
-    """Read, conform, check and publish one dataset."""
-    return conform_and_publish(read_bronze(spark, contract, load_dates), contract, hooks)
+    """Read, conform, check and publish one dataset; chosen load dates are a part of it."""
+    landed = read_bronze(spark, contract, load_dates)
+    whole = load_dates is None or load_dates == "latest"
+    return conform_and_publish(landed, contract, hooks, whole)

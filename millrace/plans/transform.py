@@ -7,6 +7,7 @@ from collections.abc import Callable, MutableMapping, Sequence
 from pyspark.sql import DataFrame
 
 from millrace.contracts import Dataset
+from millrace.functions.columns import standard_name
 from millrace.errors import PipelineError, TransformError
 from millrace.operators.cleaning import standardize_names, trim_strings
 from millrace.operators.dedup import dedup_by_key
@@ -40,9 +41,11 @@ def transform(
     """
     try:
         df = df.transform(trim_strings).transform(standardize_names)
+        named = contract.conformed()
+        newest = list(dict.fromkeys(standard_name(c) for c in newest_by))
         if contract.drop_duplicates and contract.primary_key:
-            df = dedup_by_key(df, contract.primary_key, newest_by)
-        df = df.drop(*[c for c in newest_by if c not in contract.schema.fieldNames()])
+            df = dedup_by_key(df, named.primary_key, newest)
+        df = df.drop(*[c for c in newest if c not in named.schema.fieldNames()])
         step = hooks.get(contract.name)
         return step(df, contract) if step else df
     except PipelineError:

@@ -547,16 +547,47 @@ def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's latest event, kept up to date from new files."""
+    """Each user's latest event, kept up to date from new files; the older half comes last."""
     root = scratch_path(spark, "stream-merge")
     contract = replace(
         fx.EVENTS,
         primary_key=("user_id",),
+        version=("ts",),
         silver_path=f"{root}/silver",
         write_mode="merge",
     )
-    stream = _event_stream(spark, sf_dir)
-    # The event time stands in for the load date: the newest row of a key stays.
-    stream = stream.withColumn("load_date", F.col("ts"))
-    incremental.merge_new_files(stream, contract, f"{root}/checkpoint")
+    events = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.agg(F.percentile_approx(micros, 0.5)).first()[0]
+    newer = micros >= middle
+    for name, part in (("newer", events.where(newer)), ("older", events.where(~newer))):
+        part.write.parquet(f"{root}/{name}")
+        stream = incremental.read_new_files(spark, f"{root}/{name}", events.schema)
+        incremental.merge_new_files(stream, contract, f"{root}/checkpoint-{name}")
     return spark.read.parquet(contract.silver_path)
+
+
+@query
+def upsert_moved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status after all orders of one status have moved to another one."""
+    path = scratch_path(spark, "moved")
+    orders = table(spark, sf_dir, "orders")
+    options = {"partition_columns": ["o_orderstatus"], "key": ["o_orderkey"]}
+    tables.write_table(orders, path, **options)
+    changes = orders.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("F"))
+    tables.write_table(changes, path, mode="merge", **options)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query
+def silver_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table published whole twice; the second time one partition has no rows."""
+    root = scratch_path(spark, "republished")
+    contract = replace(
+        fx.ORDERS, silver_path=f"{root}/silver", partition_columns=("o_orderstatus",)
+    )
+    orders = table(spark, sf_dir, "orders")
+    silver.conform_and_publish(orders, contract)
+    moved = F.when(F.col("o_orderstatus") == "P", "O").otherwise(F.col("o_orderstatus"))
+    silver.conform_and_publish(orders.withColumn("o_orderstatus", moved), contract)
+    return spark.read.schema(orders.schema).parquet(contract.silver_path)

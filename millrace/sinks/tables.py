@@ -8,13 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.errors import ContractError
 from millrace.functions.columns import ref
-from millrace.session import drop_path, path_exists, scratch_root
-
-# Up to this many touched partitions an upsert replaces just those; beyond it
-# the whole table is rewritten, which costs more and gives the same rows.
-MAX_TOUCHED_PARTITIONS = 1000
+from millrace.operators.dedup import dedup_by_key
+from millrace.session import drop_path, make_folder, path_exists, scratch_path, scratch_root
 
 
 def clustered(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
@@ -35,12 +34,14 @@ def write_table(
     compression: str = "snappy",
     partition_columns: Sequence[str] = (),
     key: Sequence[str] = (),
+    version: Sequence[str] = (),
     rows_are_clustered: bool = False,
+    whole: bool = False,
 ) -> None:
     """Write `df` to `path`.
 
-    `overwrite` replaces the table, or only the partitions that `df` has rows
-    for if it is partitioned; `merge` is an upsert by `key`. Rows that already
+    `overwrite` of a partitioned table replaces only the partitions that `df`
+    has rows for, unless `df` is the `whole` table; `merge` is an upsert by `key`. Rows that already
     lie together by partition are not shuffled again.
     """
     if mode == "merge":
@@ -51,11 +52,12 @@ def write_table(
             write_format=write_format,
             compression=compression,
             partition_columns=partition_columns,
+            version=version,
         )
         return
     if not rows_are_clustered:
         df = clustered(df, partition_columns)
-    _write(df, path, write_format, mode, compression, partition_columns, "dynamic")
+    _write(df, path, write_format, mode, compression, partition_columns, "static" if whole else "dynamic")
 
 
 def _write(
@@ -80,14 +82,31 @@ def _same_key(key: Sequence[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, pairs)
 
 
-def merge_rows(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of `base` without a successor in `changes`, plus all of `changes`."""
+def merge_rows(
+    base: DataFrame, changes: DataFrame, key: Sequence[str], version: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of `base` without a successor in `changes`, plus all of `changes`.
+
+    With `version` columns the row of a key that has the greatest version stays,
+    wherever it comes from, so that a late or repeated batch undoes nothing.
+    """
+    if version:
+        return dedup_by_key(base.unionByName(changes), key, newest_by=version)
     kept = base.alias("b").join(
         changes.select(*[ref(k) for k in key]).alias("c"), _same_key(key, "b", "c"), "left_anti"
     )
     return kept.unionByName(changes)
 
 
+def _same_columns(base: DataFrame, changes: DataFrame, path: str) -> None:
+    """Raise if the changes lack, add or retype a column: nothing of a table is lost silently."""
+    there = {f.name: f.dataType.simpleString() for f in base.schema.fields}
+    given = {f.name: f.dataType.simpleString() for f in changes.schema.fields}
+    wrong = sorted(n for n in there.keys() | given.keys() if there.get(n) != given.get(n))
+    if wrong:
+        raise ContractError(f"{path}: columns differ between table and changes: {', '.join(wrong)}")
+
+
 def upsert(
     changes: DataFrame,
     path: str,
@@ -96,13 +115,15 @@ def upsert(
     write_format: str = "parquet",
     compression: str = "snappy",
     partition_columns: Sequence[str] = (),
+    version: Sequence[str] = (),
 ) -> None:
     """Insert or replace rows of the table at `path` by `key`.
 
-    `changes` has unique keys and is read several times, so pass a written
-    table. If no row changes its partition, only the partitions with changes
-    are read and replaced; otherwise the table is rewritten through staging,
-    because Spark deletes what it overwrites before it has read it.
+    `changes` has unique keys, the table's columns, and is read several times,
+    so pass a written table. Only the partitions that changed rows lie in or
+    come from are read and replaced. Those that lose their last row are removed
+    first: whatever they held is in `changes`, so a run that breaks off is made
+    good by repeating it. A table without partitions is replaced through staging.
     """
     spark = changes.sparkSession
     parts = list(partition_columns)
@@ -111,42 +132,53 @@ def upsert(
         first = clustered(changes, parts)
         _write(first, path, write_format, "overwrite", compression, parts, "static")
         return
-    base = spark.read.format(write_format).schema(changes.schema).load(path)
-    if parts:
-        touched = changes.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-        if not touched:
-            return
-        if len(touched) <= MAX_TOUCHED_PARTITIONS and not _rows_move(base, changes, key, parts):
-            in_touched = reduce(
-                lambda a, b: a | b,
-                [
-                    reduce(lambda a, b: a & b, [ref(p).eqNullSafe(F.lit(row[p])) for p in parts])
-                    for row in touched
-                ],
-            )
-            merged = clustered(merge_rows(base.where(in_touched), changes, key), parts)
-            _write(merged, path, write_format, "overwrite", compression, parts, "dynamic")
-            return
-    replace_table(merge_rows(base, changes, key), path, write_format, compression, parts)
-
-
-def _rows_move(
+    # Types of partition columns come from the changes; a listing would guess them.
+    types = {f.name: f for f in changes.schema.fields if f.name in parts}
+    found = spark.read.format(write_format).load(path).schema
+    schema = T.StructType([types.get(f.name, f) for f in found.fields])
+    read = lambda: spark.read.format(write_format).schema(schema).load(path)
+    _same_columns(read(), changes, path)
+    if not parts:
+        merged = merge_rows(read(), changes, key, version)
+        replace_table(merged, path, write_format, compression, parts)
+        return
+    if changes.isEmpty():
+        return
+    # Written, because the table it comes from is about to change.
+    listed = scratch_path(spark, "touched")
+    _touched(read(), changes, key, parts).write.parquet(listed)
+    touched = spark.read.schema(T.StructType([types[p] for p in parts])).parquet(listed)
+
+    def merged() -> DataFrame:
+        base = read().alias("b").join(touched.alias("c"), _same_key(parts, "b", "c"), "left_semi")
+        return merge_rows(base, changes, key, version)
+
+    filled = merged().select(*[ref(p) for p in parts]).distinct()
+    vacated = touched.alias("b").join(filled.alias("c"), _same_key(parts, "b", "c"), "left_anti")
+    for row in vacated.select(*[ref(p).cast("string") for p in parts]).toLocalIterator():
+        drop_path(spark, "/".join([path.rstrip("/"), *map(_folder, [spark] * len(parts), parts, row)]))
+    _write(clustered(merged(), parts), path, write_format, "overwrite", compression, parts, "dynamic")
+    drop_path(spark, listed)
+
+
+def _folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """A partition's folder name as Spark writes it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    empty = "__HIVE_DEFAULT_PARTITION__"
+    return f"{escape(column)}={escape(value) if value else empty}"
+
+
+def _touched(
     base: DataFrame, changes: DataFrame, key: Sequence[str], parts: Sequence[str]
-) -> bool:
-    """Does a changed row lie in another partition now? Only keys and partitions are read."""
+) -> DataFrame:
+    """The partitions that changes go to, and those where their keys lie now. Keys alone are read."""
+    target = changes.select(*[ref(p) for p in parts])
     if set(parts) <= set(key):
-        return False
-    columns = list(dict.fromkeys([*key, *parts]))
-    stays = reduce(
-        lambda a, b: a & b, [F.col(f"b.`{p}`").eqNullSafe(F.col(f"c.`{p}`")) for p in parts]
-    )
-    moved = (
-        base.select(*columns)
-        .alias("b")
-        .join(changes.select(*columns).alias("c"), _same_key(key, "b", "c"))
-        .where(~stays)
-    )
-    return not moved.isEmpty()
+        return target.distinct()
+    narrow = base.select(*[ref(c) for c in dict.fromkeys([*key, *parts])]).alias("b")
+    keys = changes.select(*[ref(k) for k in key]).alias("c")
+    source = narrow.join(keys, _same_key(key, "b", "c"), "left_semi")
+    return target.union(source.select(*[ref(p) for p in parts])).distinct()
 
 
 def _staging(spark: SparkSession, path: str) -> str:
@@ -169,6 +201,8 @@ def replace_table(
     spark = df.sparkSession
     staging = _staging(spark, path)
     clustered(df, partition_columns).write.mode("overwrite").parquet(staging)
+    # From here on the replacement will be completed, by this run or a later one.
+    make_folder(spark, f"{staging}-intent")
     _publish_staged(spark, path, write_format, compression, partition_columns)
 
 
@@ -183,6 +217,7 @@ def _publish_staged(
     staged = spark.read.parquet(staging)
     _write(staged, path, write_format, "overwrite", compression, partition_columns, "static")
     drop_path(spark, staging)
+    drop_path(spark, f"{staging}-intent")
 
 
 def _finish_interrupted(
@@ -193,6 +228,7 @@ def _finish_interrupted(
     partition_columns: Sequence[str],
 ) -> None:
     """Complete a replacement that stopped after its staging was done."""
-    staged = path_exists(spark, f"{_staging(spark, path)}/_SUCCESS")
+    staging = _staging(spark, path)
+    staged = path_exists(spark, f"{staging}/_SUCCESS") and path_exists(spark, f"{staging}-intent")
     if staged and not path_exists(spark, f"{path}/_SUCCESS"):
         _publish_staged(spark, path, write_format, compression, partition_columns)

@@ -11,6 +11,7 @@ from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import unused
 from millrace.functions.digests import combined_md5
 
 WHOLE_FILE_BYTES = 256 << 20
@@ -96,9 +97,7 @@ def check_sources(expected: DataFrame, files: DataFrame, key: str) -> DataFrame:
     `files` holds one row per file with `key` and `length`; it is added up per
     key before the join. Files of no bytes have no row in Spark's listing.
     """
-    found = files.groupBy(key).agg(F.sum("length").alias("_bytes"))
-    return (
-        expected.join(found, key, "left")
-        .withColumn("valid", F.coalesce(F.col("_bytes"), F.lit(0)) > 0)
-        .drop("_bytes")
-    )
+    size = unused("_bytes", expected.columns)
+    found = files.groupBy(key).agg(F.sum("length").alias(size))
+    valid = F.coalesce(F.col(size), F.lit(0)) > 0
+    return expected.join(found, key, "left").withColumn("valid", valid).drop(size)

@@ -60,11 +60,12 @@ def merge_new_files(
 
     With write mode `merge` a batch that is run again after a failure gives
     the same table. Keys are compared with the whole table, not with a state
-    that forgets, so a late row is never lost.
+    that forgets: a late row of a new key is taken up, and with a `version` in
+    the contract a late row of a known key does not undo a newer one.
     """
 
     def publish(batch: DataFrame, _: int) -> None:
-        conform_and_publish(batch, contract, hooks)
+        conform_and_publish(batch, contract, hooks, whole=False)
 
     query = (
         stream.writeStream.foreachBatch(publish)

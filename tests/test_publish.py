@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.contracts import Dataset, struct
-from millrace.errors import QualityError
+from millrace.errors import ContractError, QualityError
 from millrace.plans.silver import conform, run_silver
 from millrace.session import drop_path, path_exists
 from millrace.sinks import tables
@@ -83,9 +83,39 @@ def test_upsert_with_null_partition(spark, root):
     check_upsert(spark, root, [(5, None, 5)], ["p"], [*BASE, (6, None, 6)])
 
 
-def test_upsert_beyond_the_partition_limit(spark, root, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_TOUCHED_PARTITIONS", 1)
-    check_upsert(spark, root, [(2, "a", 20), (4, "b", 40)], ["p"])
+def test_upsert_with_other_columns_is_refused(spark, root):
+    path = f"{root}/t"
+    write_table(frame(spark, BASE), path)
+    for changes in (frame(spark, BASE).drop("v"), frame(spark, BASE).withColumn("w", F.lit(1))):
+        with pytest.raises(ContractError, match="columns differ"):
+            upsert(changes, path, ["k"])
+    assert spark.read.parquet(path).columns == ["k", "p", "v"]
+
+
+@pytest.mark.parametrize("parts", [[], ["p"]])
+def test_the_greater_version_stays(spark, root, parts):
+    path = f"{root}/t"
+    options = {"partition_columns": parts, "key": ["k"], "version": ["v"]}
+    write_table(frame(spark, [(1, "a", 5), (2, "b", 5)]), path, **options)
+    write_table(frame(spark, [(1, "c", 4), (2, "a", 6)]), path, mode="merge", **options)
+    assert rows(spark, path) == [(1, "a", 5), (2, "a", 6)]
+
+
+def test_a_moved_row_leaves_other_partitions_alone(spark, root):
+    path = f"{root}/t"
+    options = {"partition_columns": ["p"], "key": ["k"]}
+    write_table(frame(spark, [*BASE, (9, "x/y", 9)]), path, **options)
+    before = {f.name for f in Path(f"{path}/p=b").glob("*.parquet")}
+    write_table(frame(spark, [(9, "a", 90)]), path, mode="merge", **options)
+    assert {f.name for f in Path(f"{path}/p=b").glob("*.parquet")} == before
+    assert sorted(f.name for f in Path(path).glob("p=*")) == ["p=a", "p=b"]
+
+
+def test_a_dropped_table_stays_dropped(spark, root):
+    path = f"{root}/t"
+    frame(spark, BASE).write.parquet(tables._staging(spark, path))
+    upsert(frame(spark, [(7, "c", 7)]), path, ["k"])
+    assert rows(spark, path) == [(7, "c", 7)]
 
 
 def test_upsert_leaves_untouched_partitions_alone(spark, root):

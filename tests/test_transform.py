@@ -13,6 +13,7 @@ from millrace.errors import QualityError, TransformError
 from millrace.operators.cleaning import standardize_names, trim_strings
 from millrace.operators.dedup import dedup_by_key
 from millrace.operators.quality import QualityReport
+from millrace.plans.silver import conform_and_publish
 from millrace.plans.transform import HOOKS, hook, transform
 
 CONTRACT = Dataset(
@@ -44,19 +45,34 @@ def test_trim_handles_odd_names_and_rejects_repeated_ones(spark):
 
 
 def test_names(spark):
-    df = spark.createDataFrame([(1, 2)], ["Product Name", "b"])
-    assert standardize_names(df).columns == ["product_name", "b"]
+    df = spark.createDataFrame([(1, 2, 3)], ["Ship  Mode", "L_TAX", "a-b"])
+    assert standardize_names(df).columns == ["ship__mode", "l_tax", "a-b"]
     with pytest.raises(TransformError, match="a_b"):
         standardize_names(spark.createDataFrame([(1, 2)], ["A b", "a B"]))
 
 
 def test_dedup_on_and_off(spark):
-    df = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C")], ["order_id", "val"])
+    orders = [(32, "HIGH"), (32, "LOW"), (32, "LOW"), (1, None), (1, "URGENT")]
+    df = spark.createDataFrame(orders, ["order_id", "val"])
     on = transform(df, CONTRACT, hooks={})
-    assert sorted(map(tuple, on.collect())) == [(1, "A"), (2, "C")]
+    assert sorted(map(tuple, on.collect()), key=str) == [(1, None), (32, "HIGH")]
     off = transform(df, replace(CONTRACT, drop_duplicates=False), hooks={})
-    assert off.count() == 3
-    assert transform(df, replace(CONTRACT, primary_key=()), hooks={}).count() == 3
+    assert sorted(map(tuple, off.collect()), key=str) == sorted(orders, key=str)
+    assert transform(df, replace(CONTRACT, primary_key=()), hooks={}).count() == 5
+
+
+def test_dedup_keeps_a_column_named_like_its_rank(spark):
+    df = spark.createDataFrame([(1, 9), (1, 8)], ["order_id", "_rank"])
+    assert [tuple(r) for r in dedup_by_key(df, ["order_id"]).collect()] == [(1, 8)]
+
+
+def test_a_contract_with_other_names_is_published_by_standard_names(spark, root):
+    fields = struct(("Item Id", T.LongType(), False), ("Unit Price", T.LongType(), True))
+    contract = Dataset("items", fields, primary_key=("Item Id",), silver_path=f"{root}/items")
+    df = spark.createDataFrame([(1, 5), (1, 4), (2, None)], ["Item Id", "Unit Price"])
+    assert conform_and_publish(df, contract, hooks={}).passed
+    found = spark.read.parquet(contract.silver_path)
+    assert found.columns == ["item_id", "unit_price"] and found.count() == 2
 
 
 def test_dedup_needs_its_key(spark):
