@@ -15,18 +15,12 @@ from pyspark.util import inheritable_thread_target
 from millrace.contracts import Dataset, select_datasets
 from millrace.errors import LandingError
 from millrace.functions.columns import ref
-from millrace.functions.digests import combined_md5, row_md5
+from millrace.functions.digests import combined_md5
 from millrace.functions.runs import new_run_id, utc_now
 from millrace.sinks.logs import AUDIT_SCHEMA, FAILED, METADATA_SCHEMA, SUCCESS, append_record
-from millrace.sources.files import combined_checksum, file_manifest, list_files
+from millrace.sources.files import file_facts
 from millrace.sources.readers import CSV_READ_OPTIONS, LOAD_DATE, all_strings, read_table
 
-# Up to this size of the largest file the checksum is the MD5 of the bytes, which
-# one task per file has to read in order. Beyond it rows are digested instead, in
-# the copying pass and over all tasks; such a checksum begins with ROWS_PREFIX.
-MD5_LIMIT_BYTES = 1 << 30
-ROWS_PREFIX = "rows:"
-
 # Written as read: NULL and the empty string stay apart, blanks stay.
 _RAW_WRITE_OPTIONS = {
     "header": "true",
@@ -74,30 +68,46 @@ class RunSummary:
 class _Source:
     files: int
     size: int
-    largest: int
+    checksum: str
 
 
 def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
-    """Count and size of the source files, from the listing alone."""
+    """Count, size and checksum of the source files; raise if they cannot be landed as they are.
+
+    The files are read once, before any landed row is touched. Text that is no
+    UTF-8, a quote that is never closed, and line breaks inside quotes of a
+    source that is not declared `multiline` would be landed as other rows.
+    """
     try:
-        files = list_files(spark, contract.source_path)
+        facts = file_facts(spark, contract.source_path)
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             raise LandingError(f"source is missing: {contract.source_path}") from exc
         raise
-    found = files.agg(
+    found = facts.agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("file_size_bytes").alias("size"),
-        F.max("file_size_bytes").alias("largest"),
+        combined_md5(F.col("checksum")).alias("checksum"),
+        F.min(F.when(~F.col("is_utf8"), F.col("file_name"))).alias("encoding"),
+        F.min(F.when(F.col("open_quote"), F.col("file_name"))).alias("open_quote"),
+        F.min(F.when(F.col("quoted_breaks"), F.col("file_name"))).alias("breaks"),
     ).first()
     # Files of no bytes are not listed.
     if not found["files"]:
         raise LandingError(f"source is empty: {contract.source_path}")
-    return _Source(found["files"], found["size"], found["largest"])
+    if found["encoding"]:
+        raise LandingError(f"{contract.name}: {found['encoding']} is not UTF-8")
+    if found["open_quote"]:
+        raise LandingError(f"{contract.name}: {found['open_quote']} ends inside quotes")
+    if found["breaks"] and not contract.multiline:
+        raise LandingError(
+            f"{contract.name}: {found['breaks']} has line breaks inside quotes; declare multiline"
+        )
+    return _Source(found["files"], found["size"], found["checksum"])
 
 
 def read_raw(spark: SparkSession, contract: Dataset, single_file: bool = False) -> DataFrame:
-    """The source's rows as text, nothing lost.
+    """The source's rows as text.
 
     A row with more fields than the header fails the query, a shorter one is
     filled with NULL.
@@ -132,20 +142,17 @@ def read_raw(spark: SparkSession, contract: Dataset, single_file: bool = False)
 
 
 def _copy(
-    spark: SparkSession, contract: Dataset, load_date: date, source: _Source, digest_rows: bool
-) -> tuple[list[str], int, str | None]:
-    """Write the rows under their load date; returns column names, row count, row digest.
+    spark: SparkSession, contract: Dataset, load_date: date, source: _Source
+) -> tuple[list[str], int]:
+    """Write the rows under their load date; returns column names and row count.
 
     The count comes with the writing tasks themselves. They follow no shuffle,
     so a task that is run again is not counted twice.
     """
     raw = read_raw(spark, contract, single_file=source.files == 1)
     facts = Observation(f"landing {contract.name}")
-    measures = [F.count(F.lit(1)).alias("rows")]
-    if digest_rows:
-        measures.append(combined_md5(row_md5(raw.columns)).alias("digest"))
     (
-        raw.observe(facts, *measures)
+        raw.observe(facts, F.count(F.lit(1)).alias("rows"))
         .withColumn(LOAD_DATE, F.lit(load_date))
         .write.mode("overwrite")
         .options(**_RAW_WRITE_OPTIONS)
@@ -158,7 +165,7 @@ def _copy(
         empty = spark.createDataFrame([], all_strings(raw.columns)).coalesce(1)
         target = f"{contract.bronze_path}/{LOAD_DATE}={load_date.isoformat()}"
         empty.write.mode("overwrite").options(**_RAW_WRITE_OPTIONS).csv(target)
-    return raw.columns, rows, facts.get.get("digest")
+    return raw.columns, rows
 
 
 def land(
@@ -166,7 +173,6 @@ def land(
     contract: Dataset,
     logs: Logs,
     clock: Callable[[], datetime] = utc_now,
-    md5_limit: int = MD5_LIMIT_BYTES,
 ) -> LandedRun:
     """Land one dataset's source under today's load date and log the attempt.
 
@@ -197,13 +203,7 @@ def land(
         if contract.file_format.strip().lower() != "csv":
             raise LandingError(f"{contract.name}: only CSV sources are landed")
         source = _inspect(spark, contract)
-        digest_rows = source.largest > md5_limit
-        columns, rows, checksum = _copy(spark, contract, load_date, source, digest_rows)
-        if digest_rows:
-            checksum = f"{ROWS_PREFIX}{checksum}"
-        else:
-            manifest = file_manifest(spark, contract.source_path)
-            checksum = combined_checksum(manifest).first()["checksum"]
+        columns, rows = _copy(spark, contract, load_date, source)
         record = {
             "dataset_name": contract.name,
             "source_file_name": file_name,
@@ -214,7 +214,7 @@ def land(
             "column_names": ",".join(columns),
             "load_date": load_date,
             "ingestion_timestamp": clock(),
-            "checksum": checksum,
+            "checksum": source.checksum,
             "run_id": run_id,
         }
         append_record(spark, record, logs.metadata, METADATA_SCHEMA)
@@ -222,7 +222,7 @@ def land(
     except Exception as exc:
         audit(FAILED, 0, str(exc))
         raise
-    return LandedRun(run_id, contract.name, load_date, rows, checksum)
+    return LandedRun(run_id, contract.name, load_date, rows, source.checksum)
 
 
 def land_all(

@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
+import codecs
 import hashlib
-import re
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.functions.columns import unused
-from millrace.functions.digests import combined_md5
 
-WHOLE_FILE_BYTES = 256 << 20
 _BLOCK_BYTES = 8 << 20
-_MANIFEST_ARROW = pa.schema(
-    [
-        pa.field("file_name", pa.string()),
-        pa.field("file_size_bytes", pa.int64()),
-        pa.field("checksum", pa.string()),
-    ]
+_FACTS = (
+    "file_name string, file_size_bytes long, checksum string, is_utf8 boolean, "
+    "open_quote boolean, quoted_breaks boolean"
 )
 
 
@@ -38,57 +37,84 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     )
 
 
-def _block_md5() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """MD5 of whole files read block by block, for files too large for one value.
+def _storage(spark: SparkSession) -> dict[str, str]:
+    """The settings of an S3-compatible store that Hadoop was given."""
+    names = ("endpoint", "access.key", "secret.key")
+    conf = spark._jsc.hadoopConfiguration()
+    found = {n: conf.get(f"fs.s3a.{n}") for n in names}
+    return {n: v for n, v in found.items() if v}
+
+
+def _reader(
+    storage: dict[str, str], schema: pa.Schema
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Facts of whole files, read block by block whatever their size.
 
     An inner function travels to the workers as it is, so that they need not
     have this package.
     """
 
-    def digest_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def opened(path: str):
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            return pa_fs.LocalFileSystem(), "/" + rest.lstrip("/")
+        if scheme in ("s3", "s3a", "s3n"):
+            options = {
+                "endpoint_override": storage.get("endpoint"),
+                "access_key": storage.get("access.key"),
+                "secret_key": storage.get("secret.key"),
+            }
+            given = {k: v for k, v in options.items() if v}
+            return pa_fs.S3FileSystem(**given), rest.lstrip("/")
+        return pa_fs.FileSystem.from_uri(quote(path, safe=":/"))
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
             for row in rows:
-                digest = hashlib.md5()
-                # Object stores have other scheme names outside Hadoop.
-                uri = re.sub(r"^s3[an]://", "s3://", row.pop("path"))
-                filesystem, path = pa_fs.FileSystem.from_uri(uri)
+                digest, decoder = hashlib.md5(), codecs.getincrementaldecoder("utf-8")()
+                is_utf8, inside, breaks = True, 0, False
+                filesystem, path = opened(row.pop("path"))
                 with filesystem.open_input_stream(path) as stream:
                     while block := stream.read(_BLOCK_BYTES):
                         digest.update(block)
+                        if is_utf8:
+                            try:
+                                decoder.decode(block)
+                            except UnicodeDecodeError:
+                                is_utf8 = False
+                        codes = np.frombuffer(block, np.uint8)
+                        # 1 after an odd number of quotes: inside a quoted field.
+                        quoted = np.bitwise_xor.accumulate((codes == 34).view(np.uint8)) ^ inside
+                        breaks = breaks or bool((quoted[codes == 10] == 1).any())
+                        inside = int(quoted[-1])
+                if is_utf8:
+                    try:
+                        decoder.decode(b"", final=True)
+                    except UnicodeDecodeError:
+                        is_utf8 = False
                 row["checksum"] = digest.hexdigest()
-            yield pa.RecordBatch.from_pylist(rows, schema=_MANIFEST_ARROW)
+                row |= {"is_utf8": is_utf8, "open_quote": bool(inside), "quoted_breaks": breaks}
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return digest_files
+    return facts
 
 
-def file_manifest(
-    spark: SparkSession,
-    path: str,
-    pattern: str | None = None,
-    whole_up_to: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """Name, size and MD5 of each file; a job over the listing comes first.
+def file_facts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Name, size and MD5 of each file, and what its bytes say about it as CSV.
 
-    Files up to `whole_up_to` bytes are digested by Spark as one value each,
-    larger ones, if there are any, block by block. Tasks are spread over files.
+    is_utf8: whether it can be decoded. open_quote: whether it ends inside a
+    quoted field. quoted_breaks: whether a line ends inside one. A task reads
+    its files in order, in blocks.
     """
-    files = list_files(spark, path, pattern)
-    small = files.where(F.col("file_size_bytes") <= whole_up_to)
-    large = files.where(F.col("file_size_bytes") > whole_up_to)
-    manifest = small.select("file_name", "file_size_bytes", F.md5("content").alias("checksum"))
-    if large.select("path").isEmpty():
-        return manifest
-    return manifest.unionByName(
-        large.select("path", "file_name", "file_size_bytes").mapInArrow(
-            _block_md5(), "file_name string, file_size_bytes long, checksum string"
-        )
-    )
+    files = list_files(spark, path, pattern).select("path", "file_name", "file_size_bytes")
+    schema = to_arrow_schema(T.StructType.fromDDL(_FACTS))
+    return files.mapInArrow(_reader(_storage(spark), schema), _FACTS)
 
 
-def combined_checksum(manifest: DataFrame) -> DataFrame:
-    """One MD5 for all files of a manifest; for a single file it is that file's own."""
-    return manifest.agg(combined_md5(F.col("checksum")).alias("checksum"))
+def file_manifest(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Name, size and MD5 of each file."""
+    return file_facts(spark, path, pattern).select("file_name", "file_size_bytes", "checksum")
 
 
 def check_sources(expected: DataFrame, files: DataFrame, key: str) -> DataFrame:

@@ -195,13 +195,24 @@ def test_source_folder_with_unlike_headers_fails(spark, lake, root):
         land(spark, contract, lake.logs, Clock())
 
 
-def test_large_files_are_digested_by_row(spark, lake):
-    first = land(spark, lake("a", GOOD), lake.logs, Clock(), md5_limit=1)
-    shuffled = "id,name,v\n" + "\n".join(reversed(GOOD.splitlines()[1:])) + "\n"
-    second = land(spark, lake("b", shuffled), lake.logs, Clock(), md5_limit=1)
-    other = land(spark, lake("c", GOOD + "1,,\n"), lake.logs, Clock(), md5_limit=1)
-    assert first.checksum.startswith("rows:")
-    assert first.checksum == second.checksum != other.checksum
+@pytest.mark.parametrize(
+    ("content", "message"),
+    [
+        (b'id,name,v\n1,"two\nlines",3\n', "line breaks inside quotes"),
+        (b'id,name,v\n1,"open,3\n2,b,4\n', "ends inside quotes"),
+        ("id,name,v\n1,caf\u00e9,3\n".encode("latin-1"), "is not UTF-8"),
+    ],
+)
+def test_torn_or_recoded_rows_are_never_a_success(spark, lake, content, message):
+    contract = lake("torn", GOOD)
+    land(spark, contract, lake.logs, Clock())
+    before = sorted(map(tuple, spark.read.csv(contract.bronze_path).collect()), key=str)
+    Path(contract.source_path).write_bytes(content)
+    with pytest.raises(LandingError, match=message):
+        land(spark, contract, lake.logs, Clock())
+    assert sorted(map(tuple, spark.read.csv(contract.bronze_path).collect()), key=str) == before
+    statuses = [r.status for r in read_log(spark, lake.logs.audit, AUDIT_SCHEMA).collect()]
+    assert sorted(statuses) == ["FAILED", "SUCCESS"]
 
 
 def test_several_datasets(spark, lake):
@@ -235,10 +246,12 @@ def test_registry():
 
 
 def test_manifest_of_small_and_large_files(spark, root):
+    root = f"{root}/with blank"
+    Path(root).mkdir()
     content = {"a.csv": b"a" * 100, "b.csv": b"b" * 20_000_000, "c.txt": b"c"}
     for name, data in content.items():
         Path(f"{root}/{name}").write_bytes(data)
-    found = file_manifest(spark, root, "*.csv", whole_up_to=1000).collect()
+    found = file_manifest(spark, root, "*.csv").collect()
     assert {r.file_name: (r.file_size_bytes, r.checksum) for r in found} == {
         n: (len(content[n]), hashlib.md5(content[n]).hexdigest()) for n in ("a.csv", "b.csv")
     }
