@@ -138,7 +138,9 @@ def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, unit string")
 
 
-def test_op1_equals_all_pairs(spark):
+@pytest.mark.parametrize("block_rows", [2048, 8])
+def test_op1_equals_all_pairs(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(itq_dedup, "BLOCK_ROWS", block_rows)
     rng = np.random.default_rng(5)
     base = rng.standard_normal((60, 16))
     near = base[:30] + 0.05 * rng.standard_normal((30, 16))
