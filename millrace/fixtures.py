@@ -154,3 +154,11 @@ LINEITEM_WHOLE_NUMBERS = Dataset(
 RELATIONAL = {
     t.name: t for t in (REGION, NATION, CUSTOMER, SUPPLIER, PART, ORDERS, LINEITEM)
 }
+
+# Key and further columns that a CSV file holds as DuckDB prints them.
+PLAIN_COLUMNS = {
+    "region": ("r_regionkey", "r_name"),
+    "nation": ("n_nationkey", "n_name", "n_regionkey"),
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+}

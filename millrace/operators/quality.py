@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.contracts import Dataset
 from millrace.errors import QualityError
 from millrace.functions.columns import ref, unused
+from millrace.operators.references import reference_report
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,8 @@ class QualityReport:
     removable_records: int
     null_counts: dict[str, int] = field(default_factory=dict)
     errors: list[str] = field(default_factory=list)
+    # Rows without a parent, per checked reference.
+    orphan_rows: dict[str, int] = field(default_factory=dict)
 
     @property
     def passed(self) -> bool:
@@ -155,11 +158,17 @@ def quality_checks(df: DataFrame, contract: Dataset) -> DataFrame:
     return facts.select(F.inline(F.array(*rows)))
 
 
-def evaluate(df: DataFrame, contract: Dataset, keys_are_unique: bool = False) -> QualityReport:
+def evaluate(
+    df: DataFrame,
+    contract: Dataset,
+    keys_are_unique: bool = False,
+    parents: Mapping[str, DataFrame] | None = None,
+) -> QualityReport:
     """Run all checks in one job and report every problem, in the fixed order.
 
     Where the keys are unique by construction they are not grouped, and the
-    job has no shuffle but that of one row per task.
+    job has no shuffle but that of one row per task. With `parents` (tables by
+    dataset name) the declared references are checked too, in a second job.
     """
     plan = _plan(df, contract)
     facts = table_facts(df, plan.checked, [] if keys_are_unique else plan.key).first()
@@ -173,7 +182,17 @@ def evaluate(df: DataFrame, contract: Dataset, keys_are_unique: bool = False) ->
     errors += [f"Key column '{c}' has {nulls[c]} NULL(s)" for c in plan.key_only if nulls[c]]
     if facts["duplicates"]:
         errors.append(f"{facts['duplicates']} key(s) occur more than once")
+    orphans = {}
+    if parents is not None and contract.foreign_keys:
+        for found in reference_report(df, contract, parents).collect():
+            orphans[found["reference"]] = found["orphan_rows"]
+            if found["orphan_rows"]:
+                errors.append(
+                    f"Reference '{found['reference']}' has {found['orphan_keys']} key(s) "
+                    f"that are not in {found['parent']}, in {found['orphan_rows']} row(s)"
+                )
     return QualityReport(
+        orphan_rows=orphans,
         dataset_name=contract.name,
         total_records=facts["total"],
         duplicate_records=facts["duplicates"],
@@ -183,9 +202,14 @@ def evaluate(df: DataFrame, contract: Dataset, keys_are_unique: bool = False) ->
     )
 
 
-def gate(df: DataFrame, contract: Dataset, keys_are_unique: bool = False) -> QualityReport:
+def gate(
+    df: DataFrame,
+    contract: Dataset,
+    keys_are_unique: bool = False,
+    parents: Mapping[str, DataFrame] | None = None,
+) -> QualityReport:
     """The report of a table that passes; otherwise raise with the report attached."""
-    report = evaluate(df, contract, keys_are_unique)
+    report = evaluate(df, contract, keys_are_unique, parents)
     if not report.passed:
         raise QualityError(report)
     return report

@@ -120,6 +120,19 @@ _MERGED_ORDERS = f"""
     from orders where o_orderstatus = 'P'
 """
 
+def _checksums() -> str:
+    """Size and MD5 of each table's columns as a CSV file in key order."""
+    parts = []
+    for name, columns in fx.PLAIN_COLUMNS.items():
+        line = " || ',' || ".join(columns)
+        text = f"'{','.join(columns)}' || chr(10) || string_agg({line} || chr(10), '' order by {columns[0]})"
+        parts.append(
+            f"select '{name}' as dataset_name, strlen(t) as file_size_bytes, md5(t) as checksum "
+            f"from (select {text} as t from {name})"
+        )
+    return " union all ".join(parts)
+
+
 ORACLES: dict[str, str] = {
     "scan_parquet": f"select {_ORDERS} from orders",
     "scan_csv": f"select {', '.join(_LINE_COLUMNS)} from lineitem",
@@ -267,6 +280,9 @@ ORACLES: dict[str, str] = {
     "incremental_landing": "select event_id, ts, user_id, event_type, value, props, "
     "ts::date as load_date from events",
     "incremental_merge": _one_per_key("events", fx.EVENTS.schema.names, ["user_id"], "ts"),
+    "silver_backfill": _one_per_key("events", fx.EVENTS.schema.names, ["user_id"], "ts"),
+    "gate_with_references": f"select {', '.join(fx.ORDERS.schema.names)} from orders",
+    "landing_checksums": _checksums(),
     "upsert_moved_rows": """
         select * replace (if(o_orderstatus = 'P', 'F', o_orderstatus) as o_orderstatus) from orders
     """,

@@ -17,6 +17,7 @@ from millrace.errors import LandingError
 from millrace.functions.columns import ref
 from millrace.functions.digests import combined_md5
 from millrace.functions.runs import new_run_id, utc_now
+from millrace.operators.logrules import audit_rules, metadata_rules
 from millrace.sinks.logs import AUDIT_SCHEMA, FAILED, METADATA_SCHEMA, SUCCESS, append_record
 from millrace.sources.files import file_facts
 from millrace.sources.readers import CSV_READ_OPTIONS, LOAD_DATE, all_strings, read_table
@@ -66,7 +67,6 @@ class RunSummary:
 
 @dataclass(frozen=True)
 class _Source:
-    files: int
     size: int
     checksum: str
 
@@ -75,8 +75,9 @@ def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
     """Count, size and checksum of the source files; raise if they cannot be landed as they are.
 
     The files are read once, before any landed row is touched. Text that is no
-    UTF-8, a quote that is never closed, and line breaks inside quotes of a
-    source that is not declared `multiline` would be landed as other rows.
+    UTF-8, a quote that is never closed, line breaks inside quotes of a source
+    that is not declared `multiline`, and files with unlike headers would be
+    landed as other rows.
     """
     try:
         facts = file_facts(spark, contract.source_path)
@@ -91,6 +92,7 @@ def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
         F.min(F.when(~F.col("is_utf8"), F.col("file_name"))).alias("encoding"),
         F.min(F.when(F.col("open_quote"), F.col("file_name"))).alias("open_quote"),
         F.min(F.when(F.col("quoted_breaks"), F.col("file_name"))).alias("breaks"),
+        (F.min("header_md5") == F.max("header_md5")).alias("one_header"),
     ).first()
     # Files of no bytes are not listed.
     if not found["files"]:
@@ -103,10 +105,12 @@ def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
         raise LandingError(
             f"{contract.name}: {found['breaks']} has line breaks inside quotes; declare multiline"
         )
-    return _Source(found["files"], found["size"], found["checksum"])
+    if not found["one_header"]:
+        raise LandingError(f"{contract.name}: the source's files differ in their headers")
+    return _Source(found["size"], found["checksum"])
 
 
-def read_raw(spark: SparkSession, contract: Dataset, single_file: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, contract: Dataset) -> DataFrame:
     """The source's rows as text.
 
     A row with more fields than the header fails the query, a shorter one is
@@ -119,9 +123,9 @@ def read_raw(spark: SparkSession, contract: Dataset, single_file: bool = False)
         spark.read.options(**CSV_READ_OPTIONS)
         .options(
             multiLine=contract.multiline,
-            # One file's header needs no check against itself; blank or
-            # repeated names would not pass it.
-            enforceSchema=single_file,
+            # That all headers are alike is known from the checksum pass; Spark's
+            # own check would reject blank and repeated names.
+            enforceSchema=True,
             nullValue=_NO_VALUE,
             columnNameOfCorruptRecord=_MALFORMED,
         )
@@ -142,14 +146,14 @@ def read_raw(spark: SparkSession, contract: Dataset, single_file: bool = False)
 
 
 def _copy(
-    spark: SparkSession, contract: Dataset, load_date: date, source: _Source
+    spark: SparkSession, contract: Dataset, load_date: date
 ) -> tuple[list[str], int]:
     """Write the rows under their load date; returns column names and row count.
 
     The count comes with the writing tasks themselves. They follow no shuffle,
     so a task that is run again is not counted twice.
     """
-    raw = read_raw(spark, contract, single_file=source.files == 1)
+    raw = read_raw(spark, contract)
     facts = Observation(f"landing {contract.name}")
     (
         raw.observe(facts, F.count(F.lit(1)).alias("rows"))
@@ -177,7 +181,8 @@ def land(
     """Land one dataset's source under today's load date and log the attempt.
 
     Landing again on the same day replaces that day's rows. Every attempt
-    leaves an audit row; a failed one is raised again after that.
+    leaves an audit row; a failed one is raised again after that. A metadata
+    row that breaks a rule of the log is not written and fails the attempt.
     """
     started = clock()
     load_date = started.astimezone(UTC).date()
@@ -191,19 +196,20 @@ def land(
             "dataset_name": contract.name,
             "start_time": started,
             "end_time": ended,
-            "duration_seconds": int((ended - started).total_seconds()),
+            # A clock that was set back gives no negative duration.
+            "duration_seconds": max(0, int((ended - started).total_seconds())),
             "status": status,
             "records_processed": records,
             "file_name": file_name,
             "error_message": message,
         }
-        append_record(spark, record, logs.audit, AUDIT_SCHEMA)
+        append_record(spark, record, logs.audit, AUDIT_SCHEMA, audit_rules())
 
     try:
         if contract.file_format.strip().lower() != "csv":
             raise LandingError(f"{contract.name}: only CSV sources are landed")
         source = _inspect(spark, contract)
-        columns, rows = _copy(spark, contract, load_date, source)
+        columns, rows = _copy(spark, contract, load_date)
         record = {
             "dataset_name": contract.name,
             "source_file_name": file_name,
@@ -217,7 +223,8 @@ def land(
             "checksum": source.checksum,
             "run_id": run_id,
         }
-        append_record(spark, record, logs.metadata, METADATA_SCHEMA)
+        rules = metadata_rules([contract.name])
+        append_record(spark, record, logs.metadata, METADATA_SCHEMA, rules)
         audit(SUCCESS, rows)
     except Exception as exc:
         audit(FAILED, 0, str(exc))

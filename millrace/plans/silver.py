@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import MutableMapping, Sequence
+from collections.abc import Mapping, MutableMapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +30,11 @@ def conform(
 
 
 def gated(
-    df: DataFrame, contract: Dataset, path: str, keys_are_unique: bool = False
+    df: DataFrame,
+    contract: Dataset,
+    path: str,
+    keys_are_unique: bool = False,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> tuple[DataFrame, QualityReport]:
     """`df` written to `path` and read back, once it has passed the gate; raise if not.
 
@@ -39,7 +43,7 @@ def gated(
     """
     clustered(df, contract.partition_columns).write.parquet(path)
     written = df.sparkSession.read.parquet(path)
-    return written, gate(written, contract, keys_are_unique)
+    return written, gate(written, contract, keys_are_unique, parents)
 
 
 def conform_and_publish(
@@ -47,6 +51,7 @@ def conform_and_publish(
     contract: Dataset,
     hooks: MutableMapping[str, Hook] = HOOKS,
     whole: bool = True,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> QualityReport:
     """`conform`, then `publish_gated`; deduplicated keys that no hook has touched are unique."""
     deduplicated = contract.drop_duplicates and bool(contract.primary_key)
@@ -55,23 +60,29 @@ def conform_and_publish(
         contract,
         keys_are_unique=deduplicated and contract.name not in hooks,
         whole=whole,
+        parents=parents,
     )
 
 
 def publish_gated(
-    df: DataFrame, contract: Dataset, keys_are_unique: bool = False, whole: bool = True
+    df: DataFrame,
+    contract: Dataset,
+    keys_are_unique: bool = False,
+    whole: bool = True,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> QualityReport:
     """Publish `df` if it passes the gate, raise and publish nothing if not.
 
     An overwrite with the `whole` dataset leaves no partition of an earlier one;
-    with a part of it, partitions without rows in `df` stay as they are.
+    with a part of it, partitions without rows in `df` stay as they are. With
+    `parents` (tables by dataset name) no reference may lack its parent.
     From staging to the table, rows are copied without a shuffle.
     """
     spark = df.sparkSession
     contract = contract.conformed()
     staging = scratch_path(spark, f"silver-{contract.name}")
     try:
-        staged, report = gated(df, contract, staging, keys_are_unique)
+        staged, report = gated(df, contract, staging, keys_are_unique, parents)
         write_table(
             staged,
             contract.silver_path,
@@ -94,8 +105,9 @@ def run_silver(
     contract: Dataset,
     load_dates: str | Sequence[date] | None = None,
     hooks: MutableMapping[str, Hook] = HOOKS,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> QualityReport:
     """Read, conform, check and publish one dataset; chosen load dates are a part of it."""
     landed = read_bronze(spark, contract, load_dates)
     whole = load_dates is None or load_dates == "latest"
-    return conform_and_publish(landed, contract, hooks, whole)
+    return conform_and_publish(landed, contract, hooks, whole, parents)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from millrace import fixtures as fx
 from millrace.contracts import Dataset, ForeignKey, struct
+from millrace.errors import QualityError
 from millrace.functions.casts import lenient_cast
 from millrace.functions.runs import duration_seconds, load_date, run_id
 from millrace.operators import cleaning, dedup, logrules, profiles, quality, references, schema
@@ -339,6 +340,20 @@ def landing_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def landing_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and MD5 that landing logs for single-file sources."""
+    root = scratch_path(spark, "checksums")
+    where = landing.Logs(f"{root}/metadata", f"{root}/audit")
+    for name, columns in fx.PLAIN_COLUMNS.items():
+        rows = table(spark, sf_dir, name).select(*columns).orderBy(columns[0]).coalesce(1)
+        source = export_csv(rows, f"{root}/source/{name}.csv")
+        contract = replace(fx.RELATIONAL[name], source_path=source, bronze_path=f"{root}/{name}")
+        landing.land(spark, contract, where, clock=lambda: RUN_TIME)
+    log = logs.read_log(spark, where.metadata, logs.METADATA_SCHEMA)
+    return log.select("dataset_name", "file_size_bytes", "checksum")
+
+
 @query
 def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = _land_tables(spark, sf_dir)
@@ -526,6 +541,45 @@ def silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(contract.silver_path).select(*contract.schema.names)
 
 
+@query
+def gate_with_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published orders, which a second load with orphans does not get past the gate to replace."""
+    contract = replace(fx.ORDERS, silver_path=f"{scratch_path(spark, 'references')}/silver")
+    orders = table(spark, sf_dir, "orders")
+    parents = {"customer": table(spark, sf_dir, "customer")}
+    silver.conform_and_publish(orders, contract, parents=parents)
+    broken = F.when(F.col("o_orderstatus") == "P", -F.col("o_custkey") - 1)
+    broken = orders.withColumn("o_custkey", broken.otherwise(F.col("o_custkey")))
+    try:
+        silver.conform_and_publish(broken, contract, parents=parents)
+    except QualityError:
+        pass
+    return spark.read.schema(orders.schema).parquet(contract.silver_path)
+
+
+@query
+def silver_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's latest event, after the older load date has been replayed onto the newer one."""
+    root = scratch_path(spark, "backfill")
+    contract = replace(
+        fx.EVENTS,
+        primary_key=("user_id",),
+        version=("ts",),
+        bronze_path=f"{root}/bronze",
+        silver_path=f"{root}/silver",
+        file_format="parquet",
+        write_mode="merge",
+    )
+    events = table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.agg(F.percentile_approx(micros, 0.5)).first()[0]
+    day = F.when(micros >= middle, F.lit(date(2026, 1, 31))).otherwise(F.lit(date(2026, 1, 30)))
+    events.withColumn("load_date", day).write.partitionBy("load_date").parquet(contract.bronze_path)
+    silver.run_silver(spark, contract, "latest")
+    silver.run_silver(spark, contract, [date(2026, 1, 30)])
+    return spark.read.parquet(contract.silver_path)
+
+
 # Incremental loads
 
 

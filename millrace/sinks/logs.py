@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,19 +41,31 @@ SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 
 
-def append_record(spark: SparkSession, record: dict, path: str, schema: T.StructType) -> None:
+def append_record(
+    spark: SparkSession,
+    record: dict,
+    path: str,
+    schema: T.StructType,
+    rules: Mapping[str, Column] | None = None,
+) -> None:
     """Add one run's row, in a folder of its own; rows already there are not touched.
 
+    A row that breaks one of `rules` (name -> condition under which it does)
+    raises instead; the writing job checks them.
+
     Two jobs that append to the same folder at once would share its temporary
     files and could lose a row.
     """
-    values = [
-        F.lit(record[f.name]).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-        if f.name != "run_id"
-    ]
+    values = [F.lit(record[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    row = spark.range(1, numPartitions=1).select(*values)
+    if rules:
+        names = [F.when(bad, F.lit(rule)) for rule, bad in rules.items()]
+        broken = F.array_compact(F.array(*names))
+        complaint = F.raise_error(F.concat(F.lit("log row breaks: "), F.array_join(broken, ", ")))
+        name = F.when(F.size(broken) > 0, complaint).otherwise(ref("dataset_name"))
+        row = row.withColumn("dataset_name", name)
     folder = f"{path}/run_id={quote(record['run_id'], safe='')}"
-    spark.range(1, numPartitions=1).select(*values).write.mode("append").parquet(folder)
+    row.drop("run_id").write.mode("append").parquet(folder)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -20,7 +20,7 @@ from millrace.functions.columns import unused
 _BLOCK_BYTES = 8 << 20
 _FACTS = (
     "file_name string, file_size_bytes long, checksum string, is_utf8 boolean, "
-    "open_quote boolean, quoted_breaks boolean"
+    "open_quote boolean, quoted_breaks boolean, header_md5 string"
 )
 
 
@@ -73,7 +73,7 @@ def _reader(
             rows = batch.to_pylist()
             for row in rows:
                 digest, decoder = hashlib.md5(), codecs.getincrementaldecoder("utf-8")()
-                is_utf8, inside, breaks = True, 0, False
+                is_utf8, inside, breaks, header = True, 0, False, None
                 filesystem, path = opened(row.pop("path"))
                 with filesystem.open_input_stream(path) as stream:
                     while block := stream.read(_BLOCK_BYTES):
@@ -87,6 +87,10 @@ def _reader(
                         # 1 after an odd number of quotes: inside a quoted field.
                         quoted = np.bitwise_xor.accumulate((codes == 34).view(np.uint8)) ^ inside
                         breaks = breaks or bool((quoted[codes == 10] == 1).any())
+                        if header is None:
+                            ends = np.flatnonzero((codes == 10) & (quoted == 0))
+                            first = block[: ends[0]] if len(ends) else block
+                            header = first.removeprefix(codecs.BOM_UTF8).replace(b'"', b"").strip()
                         inside = int(quoted[-1])
                 if is_utf8:
                     try:
@@ -95,6 +99,7 @@ def _reader(
                         is_utf8 = False
                 row["checksum"] = digest.hexdigest()
                 row |= {"is_utf8": is_utf8, "open_quote": bool(inside), "quoted_breaks": breaks}
+                row["header_md5"] = hashlib.md5((header or b"").lower()).hexdigest()
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return facts
@@ -104,8 +109,9 @@ def file_facts(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     """Name, size and MD5 of each file, and what its bytes say about it as CSV.
 
     is_utf8: whether it can be decoded. open_quote: whether it ends inside a
-    quoted field. quoted_breaks: whether a line ends inside one. A task reads
-    its files in order, in blocks.
+    quoted field. quoted_breaks: whether a line ends inside one. header_md5: of
+    its first line without quotes, in lower case. A task reads its files in
+    order, in blocks.
     """
     files = list_files(spark, path, pattern).select("path", "file_name", "file_size_bytes")
     schema = to_arrow_schema(T.StructType.fromDDL(_FACTS))

@@ -170,9 +170,7 @@ def test_only_csv_is_landed(spark, lake):
 
 def test_blank_and_repeated_header_names(spark, lake):
     contract = lake("odd", ",a,a\n1,2,3\n")
-    assert [tuple(r) for r in read_raw(spark, contract, single_file=True).collect()] == [
-        ("1", "2", "3")
-    ]
+    assert [tuple(r) for r in read_raw(spark, contract).collect()] == [("1", "2", "3")]
     land(spark, contract, lake.logs, Clock())
     assert metadata(spark, lake)[0].column_count == 3
 
@@ -191,10 +189,28 @@ def test_source_folder_with_unlike_headers_fails(spark, lake, root):
     run = land(spark, contract, lake.logs, Clock())
     assert run.row_count == 2
     Path(f"{contract.source_path}/3.csv").write_text("name,id,v\na,1,2\n")
-    with pytest.raises(Exception):
+    with pytest.raises(LandingError, match="differ in their headers"):
         land(spark, contract, lake.logs, Clock())
 
 
+def test_repeated_header_names_land_from_several_files_too(spark, lake):
+    contract = lake("twice", None)
+    Path(contract.source_path).mkdir()
+    for name, header in (("1", "\ufeffid,a,a"), ("2", '"id",A,a\r')):
+        Path(f"{contract.source_path}/{name}.csv").write_text(f"{header}\n1,2,3\n")
+    assert land(spark, contract, lake.logs, Clock()).row_count == 2
+
+
+def test_a_log_row_that_breaks_a_rule_is_not_written(spark, lake, monkeypatch):
+    contract = lake("things", GOOD)
+    monkeypatch.setattr("millrace.plans.landing._copy", lambda *_: ([], -1))
+    with pytest.raises(Exception, match="row_count_not_negative, column_count_positive"):
+        land(spark, contract, lake.logs, Clock())
+    [row] = audit(spark, lake)
+    assert row.status == "FAILED" and "column_count_positive" in row.error_message
+    assert not list(Path(lake.logs.metadata).rglob("*.parquet"))
+
+
 @pytest.mark.parametrize(
     ("content", "message"),
     [

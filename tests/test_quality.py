@@ -155,6 +155,16 @@ def test_orphans(spark):
         reference_report(child, contract(), {})
 
 
+def test_the_gate_checks_references_against_given_parents(spark):
+    child = spark.createDataFrame([(1, 1), (2, 9), (3, 9), (4, None)], "id int, fk int")
+    parent = spark.createDataFrame([(1,), (1,), (2,)], ["id"])
+    linked = contract(foreign_keys=(LINK,))
+    assert gate(child, linked).passed and gate(child, linked).orphan_rows == {}
+    with pytest.raises(QualityError, match="'fk' has 1 key.s. that are not in parent, in 2 row"):
+        gate(child, linked, parents={"parent": parent})
+    assert gate(child.where("fk = 1"), linked, parents={"parent": parent}).orphan_rows == {"fk": 0}
+
+
 def test_orphan_keys_are_counted_before_the_join(spark):
     child = spark.range(10000).select((F.col("id") % 2).alias("fk"))
     # A parent small enough for a broadcast filters the rows before the count.
