@@ -42,6 +42,9 @@ LEAF_PAIRS = 64
 # Node pairs, and fingerprint pairs, that a task holds at once.
 FRONTIER = 1 << 16
 COMPARED = 1 << 21
+# Copies of fingerprints that are dealt at once, and tasks that share the units at most.
+DEALT = 1 << 16
+MOST_TASKS = 1 << 14
 # Shingles whose bits are counted at once.
 SHINGLE_BLOCK = 1 << 14
 
@@ -97,15 +100,14 @@ def permuted(values: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def units(split: int, errors: int) -> tuple[list[tuple[int, int]], list[list[int]]]:
-    """The units (pairs of prefixes), and for each prefix the numbers of its units."""
-    masks = [sum(1 << i for i in c) for k in range(errors + 1) for c in combinations(range(split), k)]
-    pairs = sorted({(min(p, p ^ m), max(p, p ^ m)) for p in range(1 << split) for m in masks})
-    of: list[list[int]] = [[] for _ in range(1 << split)]
-    for number, (p, q) in enumerate(pairs):
-        for prefix in {p, q}:
-            of[prefix].append(number)
-    return pairs, of
+def prefix_masks(split: int, errors: int) -> np.ndarray:
+    """The ways in which two prefixes of `split` bits can differ in at most `errors` bits; 0 first.
+
+    Unit `p * len(masks) + k` is the pair of prefixes p and p ^ masks[k], p being
+    the lesser: units are numbered, not listed, however deep the split is.
+    """
+    sets = [c for k in range(errors + 1) for c in combinations(range(split), k)]
+    return np.array([sum(1 << i for i in c) for c in sets], np.int64)
 
 
 def _leaf_links(a: np.ndarray, b: np.ndarray, nodes: tuple, errors: int) -> Iterator[tuple]:
@@ -201,43 +203,41 @@ def fingerprint_links(fingerprints: DataFrame, errors: int = 3) -> DataFrame:
     count = fingerprints.count()
     split = max(MIN_SPLIT, math.ceil(math.log2(max(1, count) / SUBTREE_ROWS)))
     order = bit_order(fingerprints)
-    pairs, of = units(split, errors)
+    masks = prefix_masks(split, errors)
     shift = np.uint64(BITS - split)
+    # A unit per mask and prefix, where a pair of prefixes is met from both.
+    pairs = (1 << split) * (len(masks) + 1) // 2
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(numbers) for numbers in of])
-        starts = np.cumsum(sizes) - sizes
-        flat = np.array([n for numbers in of for n in numbers], np.int32)
+        step = max(1, DEALT // len(masks))
         for batch in batches:
             values = permuted(batch.column(0).to_numpy().view(np.uint64), order)
-            for at in range(0, len(values), 4096):
-                part = values[at : at + 4096]
-                prefix = (part >> shift).astype(np.int64)
-                copies = sizes[prefix]
-                within = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-                unit = flat[np.repeat(starts[prefix], copies) + within]
+            for at in range(0, len(values), step):
+                part = values[at : at + step]
+                prefix = (part >> shift).astype(np.int64)[:, None]
+                unit = np.minimum(prefix, prefix ^ masks) * len(masks) + np.arange(len(masks))
+                copies = np.repeat(part, len(masks)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(unit), pa.array(np.repeat(part, copies).view(np.int64))],
-                    names=["unit", "value"],
+                    [pa.array(unit.reshape(-1)), pa.array(copies)], names=["unit", "value"]
                 )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inverse = [BITS - 1 - order.index(bit) for bit in reversed(range(BITS))]
         for unit, values in _by_unit(batches):
             values = np.unique(values)
-            p, q = pairs[unit]
-            if p == q:
+            p, k = divmod(unit, len(masks))
+            if k == 0:
                 edges = unit_edges(values, None, errors, split)
             else:
-                cut = int(np.searchsorted(values >> shift, q))
+                cut = int(np.searchsorted(values >> shift, np.uint64(p ^ int(masks[k]))))
                 edges = unit_edges(values[:cut], values[cut:], errors, 0)
             back = permuted(edges.reshape(-1), inverse).view(np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(back[:, 0]), pa.array(back[:, 1])], names=["a", "b"]
             )
 
-    dealt = fingerprints.select("fp").mapInArrow(deal, "unit int, value long")
-    dealt = dealt.repartitionByRange(len(pairs), "unit").sortWithinPartitions("unit")
+    dealt = fingerprints.select("fp").mapInArrow(deal, "unit long, value long")
+    dealt = dealt.repartitionByRange(min(pairs, MOST_TASKS), "unit").sortWithinPartitions("unit")
     return dealt.mapInArrow(walk, "a long, b long")
 
 
