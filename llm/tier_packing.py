@@ -148,43 +148,44 @@ class Packer:
         longest, total = self.tiers[-1], len(ids)
         whole = total - total % longest
         for start in range(0, whole, longest):
-            self._close(longest, [(doc_id, ids, start, longest)])
+            self._close(longest, [(doc_id, total, start, ids[start : start + longest])])
         if whole < total:
-            self._return(doc_id, ids, whole)
+            # A copy, so that the pool holds no long document for the sake of its end.
+            self._return(doc_id, total, whole, ids[whole:].copy())
         if len(self.pool) >= POOL[1]:
             self._pack(POOL[0])
 
     def finish(self) -> None:
         self._pack(0)
 
-    def _return(self, doc_id, ids: np.ndarray, start: int) -> None:
+    def _return(self, doc_id, total: int, start: int, rest: np.ndarray) -> None:
         self.added += 1
-        insort(self.pool, (len(ids) - start, self.added, doc_id, ids, start))
+        insort(self.pool, (len(rest), self.added, doc_id, total, start, rest))
 
     def _pack(self, down_to: int) -> None:
         while len(self.pool) > down_to:
-            left, _, doc_id, ids, start = self.pool.pop()
+            left, _, *piece = self.pool.pop()
             tier = next(t for t in self.tiers if t >= left)
-            pieces, gap = [(doc_id, ids, start, left)], tier - left
+            pieces, gap = [piece], tier - left
             while gap and self.pool:
                 at = bisect_right(self.pool, (gap, float("inf"))) - 1
                 # The longest that fits, else the shortest, which is cut.
-                left, _, doc_id, ids, start = self.pool.pop(max(at, 0))
+                left, _, doc_id, total, start, rest = self.pool.pop(max(at, 0))
                 taken = min(left, gap)
-                pieces.append((doc_id, ids, start, taken))
+                pieces.append((doc_id, total, start, rest[:taken]))
                 gap -= taken
                 if taken < left:
-                    self._return(doc_id, ids, start + taken)
+                    self._return(doc_id, total, start + taken, rest[taken:])
             self._close(self.tiers[-1] if gap else tier, pieces)
 
-    def _close(self, window: int, pieces: list[tuple]) -> None:
+    def _close(self, window: int, pieces: list) -> None:
         tokens, order, group = self.load[0]
         heapreplace(self.load, (tokens + window, order, group))
         offset = 0
-        for doc_id, ids, start, length in pieces:
-            crc = zlib.crc32(ids[start : start + length].tobytes())
+        for doc_id, total, start, ids in pieces:
+            crc, length = zlib.crc32(ids.tobytes()), len(ids)
             self.emitted.append(
-                (doc_id, start, length, crc, len(ids), self.sequence, offset, window, group)
+                (doc_id, start, length, crc, total, self.sequence, offset, window, group)
             )
             offset += length
         self.sequence += 1
