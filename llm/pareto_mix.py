@@ -8,8 +8,10 @@ taken until the words still missing are reached.
 
 The cut of a ranking is found without sorting a source: ranks fall into
 buckets, bucket sums say in which one the cut lies, and only that bucket's
-documents are ordered. Documents of it that would overshoot are passed over, so
-that a source ends as near to its target as the remaining sizes allow.
+documents are ordered. Documents that would overshoot are passed over, and the
+words still missing are sought in the buckets after the cut, by sums of what
+still fits, until no document left is short enough. One more is then taken if
+overshooting by the shortest comes nearer than falling short.
 """
 
 from __future__ import annotations
@@ -86,14 +88,77 @@ def _fill(part: pd.DataFrame) -> pd.DataFrame:
     for size in part["size"]:
         taken.append(size <= gap)
         gap -= size * taken[-1]
-    part = part.assign(extra=taken)
-    rest = part.index[~part["extra"].to_numpy() & (part["size"] > 0).to_numpy()]
-    if len(rest):
-        # One document more if overshooting by it comes nearer than falling short.
-        nearest = part.loc[rest, "size"].idxmin()
-        if abs(part.at[nearest, "size"] - gap) < gap:
-            part.at[nearest, "extra"] = True
-    return part.loc[part["extra"], ["row"]]
+    return part.loc[taken, ["row", "number", "size"]]
+
+
+def _extras(ranked: DataFrame, missing: dict[int, float], scratch: Scratch) -> DataFrame:
+    """(row) of the further copies: each source of `missing` (number: words) in rank order.
+
+    A document is taken if it fits into what its source still misses. In a round
+    the documents that fit at its start are summed by bucket: all of them are
+    taken up to the bucket in which their sums exceed the gap, and that one is
+    gone through in order. The next round goes on behind it with the gap left.
+    The driver holds a row per source and round; each round has a smaller gap,
+    and a source has no more of them than buckets.
+    """
+    spark = ranked.sparkSession
+    ranked = ranked.where(F.col("rank").isNotNull())
+    spans: list[tuple] = []
+    picked = spark.createDataFrame([], "row long, number int, size long")
+    gaps, open_ = dict(missing), {n: 0 for n, gap in missing.items() if gap > 0}
+    while open_:
+        state = [(n, start, gaps[n]) for n, start in open_.items()]
+        state = spark.createDataFrame(state, "number int, start int, gap double")
+        # Documents without words belong to the first round: they fit everywhere.
+        fits = (F.col("bucket") >= F.col("start")) & (F.col("size") <= F.col("gap"))
+        fits = fits & ((F.col("size") > 0) | (F.col("start") == 0))
+        left = ranked.join(F.broadcast(state), "number").where(fits)
+        # Sums per source and bucket; what comes of them is one row per source.
+        sums = left.groupBy("number", "bucket", "gap").agg(F.sum("size").alias("words"))
+        upto = F.sum("words").over(W.partitionBy("number").orderBy("bucket"))
+        sums = sums.withColumn("upto", upto)
+        over = F.col("upto") > F.col("gap")
+        cuts = sums.groupBy("number").agg(
+            F.min(F.when(over, F.col("bucket"))).alias("cut"),
+            F.coalesce(F.max(F.when(~over, F.col("upto"))), F.lit(0)).alias("words"),
+        )
+        cuts = {r["number"]: (r["cut"], r["words"]) for r in cuts.collect()}
+        following, inside = {}, []
+        for n, start in open_.items():
+            cut, taken = cuts.get(n, (None, 0))
+            spans.append((n, start, MOST_BUCKETS if cut is None else cut, gaps[n]))
+            gaps[n] -= taken
+            if cut is not None:
+                inside.append((n, cut, gaps[n]))
+                following[n] = cut + 1
+        if inside:
+            inside = spark.createDataFrame(inside, "number int, bucket int, gap double")
+            within = left.drop("gap").join(F.broadcast(inside), ["number", "bucket"])
+            within = within.select("number", "row", "doc_id", "tie", "rank", "size", "gap")
+            filled = within.groupBy("number").applyInPandas(_fill, picked.schema)
+            filled = scratch.save(filled)
+            for n, taken in filled.groupBy("number").agg(F.sum("size")).collect():
+                gaps[n] -= taken
+            picked = picked.union(filled)
+        open_ = {n: start for n, start in following.items() if gaps[n] > 0}
+    spans = spark.createDataFrame(spans, "number int, start int, stop int, gap double")
+    spans = spans.groupBy("number").agg(F.collect_list(F.struct("start", "stop", "gap")).alias("spans"))
+
+    def within_span(span: Column) -> Column:
+        whole = (F.col("bucket") >= span["start"]) & (F.col("bucket") < span["stop"])
+        fits = (F.col("size") <= span["gap"]) & ((F.col("size") > 0) | (span["start"] == 0))
+        return whole & fits
+
+    taken = ranked.join(F.broadcast(spans), "number").where(F.exists("spans", within_span))
+    taken = scratch.save(taken.select("row").union(picked.select("row")))
+    # One document more if overshooting by it comes nearer than falling short.
+    short = [(n, gap) for n, gap in gaps.items() if gap > 0]
+    short = spark.createDataFrame(short, "number int, gap double")
+    near = (F.col("size") > 0) & (F.abs(F.col("size") - F.col("gap")) < F.col("gap"))
+    near = ranked.join(F.broadcast(short), "number").where(near).join(taken, "row", "left_anti")
+    order = F.struct("size", "rank", F.isnull("doc_id"), "doc_id", "tie", "row")
+    nearest = near.groupBy("number").agg(F.min_by("row", order).alias("row"))
+    return taken.union(nearest.select("row"))
 
 
 def sampled(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -129,31 +194,13 @@ def sampled(docs: DataFrame, scratch: Scratch) -> DataFrame:
         odds.alias("rank"),
         # Buckets follow the ranking: rank grows with the uniform number.
         F.floor(uniform * buckets).cast("int").alias("bucket"),
-        (F.col("target") - F.col("certain") * F.col("source_size")).alias("missing"),
-    )
-    # Sums per source and bucket; what comes of them is one row per source.
-    sums = ranked.where(F.col("rank").isNotNull()).groupBy("number", "bucket", "missing")
-    sums = sums.agg(F.sum("size").alias("words"))
-    before = F.sum("words").over(W.partitionBy("number").orderBy("bucket")) - F.col("words")
-    gap = F.col("missing") - before
-    limits = sums.select("number", "bucket", "words", gap.alias("gap"))
-    whole = F.col("gap") >= F.col("words")
-    limits = limits.where(whole | (F.col("gap") > 0)).groupBy("number")
-    limits = limits.agg(
-        F.max(F.when(whole, F.col("bucket"))).alias("full"),
-        F.max(F.when(~whole, F.struct("bucket", "gap"))).alias("cut"),
     )
-    limits = scratch.save(limits)
-    joined = ranked.join(F.broadcast(limits), "number", "left")
-    inside = joined.where(F.col("rank").isNotNull() & (F.col("bucket") == F.col("cut.bucket")))
-    inside = inside.select("number", "row", "doc_id", "tie", "rank", "size", "cut.gap")
-    filled = inside.groupBy("number").applyInPandas(_fill, "row long")
-    filled = filled.withColumn("picked", F.lit(True))
-    below = F.col("bucket") < F.coalesce("cut.bucket", F.col("full") + 1, F.lit(0))
-    extra = F.col("rank").isNotNull() & (below | F.coalesce("picked", F.lit(False)))
-    return joined.join(filled, "row", "left").select(
+    missing = targets.select("number", F.col("target") - F.col("certain") * F.col("source_size"))
+    extras = _extras(ranked, dict(map(tuple, missing.collect())), scratch)
+    joined = ranked.join(extras.withColumn("extra", F.lit(1)), "row", "left")
+    return joined.select(
         *["row", "doc_id", "source", "size", "source_size", "target"],
-        (F.col("certain") + F.when(extra, 1).otherwise(0)).alias("copies"),
+        (F.col("certain") + F.coalesce("extra", F.lit(0))).alias("copies"),
     )
 
 

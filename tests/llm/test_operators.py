@@ -330,6 +330,17 @@ def test_op8_odd_rows(spark, odd, empty):
     assert pareto_mix.mixed(empty).count() == 0
 
 
+def test_op8_fills_behind_a_long_document(spark):
+    """A document longer than what is missing ends no source: later buckets hold some that fit."""
+    texts = ["w " * 30] * 1500 + ["w " * 60_000]
+    rows = [(i, t, s) for s in "abcdef" for i, t in enumerate(texts, 10_000 * ord(s))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = pareto_mix.sampled(numbered(docs, "row"), Scratch(spark, "t")).toPandas()
+    taken = (found["size"] * found.copies).groupby(found.source).sum()
+    target = found.groupby("source").target.first()
+    assert ((taken - target).abs() <= 15).all()
+
+
 def test_op9(spark, documents):
     found = result(spark, "op9_weighted_minhash").set_index("doc_id")
     rows = documents.sort_values("doc_id", ascending=False)
