@@ -7,22 +7,23 @@ weight are the sample. Two documents agree in a sample with probability equal
 to the generalised Jaccard similarity of their weights: the sum of the smaller
 over the sum of the larger ones.
 
-Terms share the random numbers of 65,536 hash buckets (terms of one bucket add
-up their weights), so that the numbers come from tables instead of being drawn
-per term.
+A term is the 64-bit hash of its word. Its random numbers are derived from that
+hash and the sample number, so that they need no table; a table of bounded size
+keeps those of the words met last, among them the frequent ones.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,60 +31,125 @@ from pyspark.sql import types as T
 from llm.common import slices, utf8
 
 SAMPLES = 128
-TERM_BITS = 16
 SEED = 9
+# Terms whose random numbers a worker keeps at most; those of others are derived each time.
+KEPT = 1 << 16
 # Documents per range of ids, and ranges at most.
 RANGE_ROWS = 256
 MOST_RANGES = 4096
-# Terms whose races run at once.
+# Terms whose races run at once, and whose random numbers are derived at once.
 BLOCK = 4096
+DERIVED = 512
+
+
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """The finaliser of SplitMix64, in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _gamma(halves: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1) from pairs of 32 bits, of which the upper 23 count: -log of two uniform numbers' product."""
+    uniform = (halves >> np.uint32(9)).view(np.int32).astype(np.float32)
+    uniform += np.float32(0.5)
+    uniform *= np.float32(1 / (1 << 23))
+    return -np.log(uniform[:, ::2] * uniform[:, 1::2])
 
 
 class Races:
-    """Random numbers of every term bucket: r and c from Gamma(2, 1), b uniform."""
-
-    def __init__(self, samples: int, seed: int):
-        rng = np.random.Generator(np.random.PCG64(seed))
-        shape = (1 << TERM_BITS, samples)
-        draw = lambda: -np.log1p(-rng.random(shape, np.float32))
-        self.r = draw() + draw()
-        self.log_c = np.log(draw() + draw())
-        self.b = rng.random(shape, np.float32)
-        # The race of a term of weight 1, whose logarithm is 0.
-        self.single = self.log_c - self.r * (np.floor(self.b) - self.b + 1)
-        self.samples = samples
+    """Random numbers of every term and sample: r and c from Gamma(2, 1), b uniform.
+
+    What is kept changes no result: kept or derived, they are the same, and of
+    equal races the term of the lesser hash wins.
+    """
+
+    def __init__(self, samples: int, seed: int, kept: int = KEPT):
+        self.samples, self.kept = samples, kept
+        # Two numbers of 64 bits per term and sample.
+        steps = np.arange(1, 2 * samples + 1, dtype=np.uint64) + (np.uint64(seed) << np.uint64(32))
+        self.steps = _scrambled(steps).reshape(2, samples)
+        self.slots: dict[int, int] = {}
+        self.owner, self.busy, self.next = [None] * kept, np.zeros(kept, bool), 0
+        self.table = [np.empty((kept, samples), np.float32) for _ in range(4)]
+
+    def derived(self, terms: np.ndarray) -> tuple[np.ndarray, ...]:
+        """r, log c, b and the race of weight 1 (whose logarithm is 0): a row per term."""
+        out = tuple(np.empty((len(terms), self.samples), np.float32) for _ in range(4))
+        for at in range(0, len(terms), DERIVED):
+            rows = slice(at, at + DERIVED)
+            x, y = (_scrambled(terms[rows, None] + steps).view(np.uint32) for steps in self.steps)
+            # b is made of the bits that r leaves over.
+            low = x & np.uint32(511)
+            b = (low[:, ::2] << np.uint32(9) | low[:, 1::2]).view(np.int32).astype(np.float32)
+            b *= np.float32(1 / (1 << 18))
+            r, log_c = _gamma(x), np.log(_gamma(y))
+            for held, new in zip(out, (r, log_c, b, log_c - r * (1 - b)), strict=True):
+                held[rows] = new
+        return out
+
+    def _places(self, terms: np.ndarray) -> np.ndarray:
+        """Rows of the table; -1 for terms that do not fit. New terms replace the oldest ones not asked for."""
+        get = self.slots.get
+        places = np.array([get(t, -1) for t in terms.tolist()], np.int64)
+        new, old = np.flatnonzero(places < 0), places[places >= 0]
+        if not len(new) or not self.kept:
+            return places
+        self.busy[old] = True
+        ring = (self.next + np.arange(min(self.kept, len(new) + len(old)))) % self.kept
+        free = ring[~self.busy[ring]][: len(new)]
+        self.busy[old] = False
+        if len(free):
+            self.next = int(free[-1]) + 1
+        for at in range(0, len(free), BLOCK):
+            rows, some = free[at : at + BLOCK], new[at : at + BLOCK][: len(free) - at]
+            places[some] = rows
+            for held, numbers in zip(self.table, self.derived(terms[some]), strict=True):
+                held[rows] = numbers
+            for row, term in zip(rows.tolist(), terms[some].tolist(), strict=True):
+                self.slots.pop(self.owner[row], None)
+                self.owner[row], self.slots[term] = term, row
+        return places
 
     def signature(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One 16-bit value per sample; `terms` are distinct bucket numbers."""
+        """One 16-bit value per sample; `terms` are distinct hashes (uint64) in ascending order."""
         best = np.full(self.samples, np.inf, np.float32)
-        value = np.zeros(self.samples, np.int64)
-        for heavy in (False, True):
-            chosen = (weights > 1) == heavy
-            some, log_w = terms[chosen], np.log(weights[chosen]).astype(np.float32)
-            for at in range(0, len(some), BLOCK):
-                block = some[at : at + BLOCK]
+        who, levels = np.zeros((2, self.samples), np.uint64)
+        places = self._places(terms)
+        for heavy, kept in ((False, True), (False, False), (True, True), (True, False)):
+            chosen = np.flatnonzero(((weights > 1) == heavy) & ((places >= 0) == kept))
+            for at in range(0, len(chosen), BLOCK):
+                block = chosen[at : at + BLOCK]
                 if heavy:
-                    r, b = self.r[block], self.b[block]
-                    level = np.floor(log_w[at : at + BLOCK, None] / r + b)
-                    race = self.log_c[block] - r * (level - b + 1)
+                    rows = [t[places[block]] for t in self.table[:3]] if kept else self.derived(terms[block])
+                    r, log_c, b = rows[:3]
+                    log_w = np.log(weights[block]).astype(np.float32)
+                    level = np.floor(log_w[:, None] / r + b)
+                    race = log_c - r * (level - b + 1)
                 else:
-                    level, race = None, self.single[block]
+                    level = None
+                    race = self.table[3][places[block]] if kept else self.derived(terms[block])[3]
                 first = race.argmin(axis=0)
                 place = (first, np.arange(self.samples))
-                won = race[place] < best
-                best = np.where(won, race[place], best)
-                levels = level[place].astype(np.int64) if heavy else 0
-                value = np.where(won, block[first] * 1_000_003 + levels * 8_191 + 1, value)
-        mixed = value.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(48)).astype(">u2")
+                found, name = race[place], terms[block][first]
+                won = (found < best) | ((found == best) & (name < who))
+                best, who = np.where(won, found, best), np.where(won, name, who)
+                levels = np.where(won, level[place].astype(np.uint64) if heavy else np.uint64(0), levels)
+        value = who * np.uint64(1_000_003) + levels * np.uint64(8_191) + np.uint64(1)
+        return (value * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(">u2")
 
     def of_text(self, text: str) -> bytes | None:
         """The signature's bytes; None for a text without words."""
-        words = utf8(text).split()
-        if not words:
+        counts = Counter(utf8(text).split())
+        if not counts:
             return None
-        buckets = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) & ((1 << TERM_BITS) - 1)
-        return self.signature(*np.unique(buckets, return_counts=True)).tobytes()
+        terms = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
+        weights = np.fromiter(counts.values(), np.int64, len(counts))
+        order = np.argsort(terms)
+        return self.signature(terms[order], weights[order]).tobytes()
 
 
 @lru_cache(maxsize=1)

@@ -362,6 +362,20 @@ def test_op9(spark, documents):
     assert all(prints[t] == p for t, p in zip(texts, found.fingerprint, strict=True))
 
 
+def test_op9_many_words():
+    """Words share no random numbers, however many a text has, and the table changes nothing."""
+    races = weighted_minhash.Races(1024, weighted_minhash.SEED)
+    one, other = (" ".join(f"{c}{i}" for i in range(20_000)) for c in "ab")
+    assert weighted_minhash.likeness(races.of_text(one), races.of_text(other)) < 0.005
+    half = " ".join(one.split()[:10_000]) + " " + other
+    near = weighted_minhash.likeness(races.of_text(half), races.of_text(other))
+    assert abs(near - 2 / 3) < 0.06
+    repeated = one + " a1 a1 a2 b3 b3"
+    for kept in (0, 100, 25_000):
+        short = weighted_minhash.Races(1024, weighted_minhash.SEED, kept)
+        assert all(short.of_text(t) == races.of_text(t) for t in (repeated, half, one))
+
+
 def test_op9_odd_rows(spark, odd, empty):
     found = weighted_minhash.fingerprinted(odd).toPandas()
     assert len(found) == 10
