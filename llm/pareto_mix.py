@@ -4,7 +4,8 @@ Each source has a target in words. Its rate (target / size) gives every
 document certain whole copies, and a further copy with probability equal to
 the fractional part. Those further copies are a Pareto sample of fixed size:
 documents are ranked by random odds over inclusion odds, and the first ones are
-taken until the words still missing are reached.
+taken until the words still missing are reached. The inclusion odds are equal
+within a source, so that its ranking is plain random order.
 
 The cut of a ranking is found without sorting a source: ranks fall into
 buckets, bucket sums say in which one the cut lies, and only that bucket's
