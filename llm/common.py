@@ -62,6 +62,29 @@ class Scratch:
         drop_path(self.spark, df._scratch)
 
 
+def in_order(df: DataFrame, order: Sequence[Column], name: str, scratch: Scratch) -> DataFrame:
+    """`df` with each row's place, from 0, in an order that no task sees as a whole.
+
+    Rows are range-partitioned and numbered within their partition in a scratch
+    table; a partition starts at the sum of the sizes before it, a number each.
+    """
+    at, part, first = (fresh(df, n) for n in ("at", "part", "first"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    # The id holds the partition's number above 33 bits and the row's number in it below.
+    placed = scratch.save(placed.withColumn(at, F.monotonically_increasing_id()))
+    placed = placed.withColumn(part, F.shiftright(at, 33))
+    sizes = sorted(placed.groupBy(part).count().collect())
+    starts, total = [], 0
+    for number, size in sizes:
+        starts.append((number, total))
+        total += size
+    starts = df.sparkSession.createDataFrame(starts, f"`{part}` long, `{first}` long")
+    placed = placed.join(F.broadcast(starts), part)
+    place = F.col(first) + F.col(at).bitwiseAND((1 << 33) - 1)
+    return placed.select(*df.columns, place.alias(name))
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS
 ) -> Iterator[pa.RecordBatch]:

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from llm import (
     context_trees,
     hilbert_shards,
+    importance_sample,
     itq_dedup,
     letter_profiles,
     pareto_mix,
     simhash_trie,
+    subvector_clusters,
     tier_packing,
     token_transducer,
     toxicity_models,
     weighted_minhash,
 )
 from llm.common import Scratch, in_fold, numbered, table
+from llm.oracles import IMPORTANCE, subvector_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +107,18 @@ def op7_toxicity_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_subvector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subvector_clusters.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
+    return importance_sample.ranked(docs, table(spark, sf_dir, "benchmark")).drop("row")
+
+
+ORACLES["op11_subvector_clusters"] = subvector_sql(k=40, rounds=5)
+ORACLES["op12_importance_sample"] = IMPORTANCE
