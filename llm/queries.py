@@ -20,6 +20,7 @@ from llm import (
     token_transducer,
     toxicity_models,
     weighted_minhash,
+    wrapper_induction,
 )
 from llm.common import Scratch, in_fold, numbered, table
 from llm.oracles import IMPORTANCE, subvector_sql
@@ -120,5 +121,11 @@ def op12_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_sample.ranked(docs, table(spark, sf_dir, "benchmark")).drop("row")
 
 
+@query
+def op13_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrapper_induction.extracted(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 ORACLES["op11_subvector_clusters"] = subvector_sql(k=40, rounds=5)
 ORACLES["op12_importance_sample"] = IMPORTANCE

@@ -1,0 +1,205 @@
+"""Main text by wrapper induction: tree matching, folding, and whole pages."""
+
+from __future__ import annotations
+
+import html as entities
+import random
+import re
+
+import pandas as pd
+import pytest
+
+from llm import markup, wrapper_induction
+from llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "page_id long, url string, html string, text string, host string, blocks int, shape string"
+
+
+def tree(rng, size):
+    nodes = [markup.Node("r")]
+    for _ in range(size - 1):
+        node = markup.Node(rng.choice("abc"))
+        rng.choice(nodes).children.append(node)
+        nodes.append(node)
+    return nodes[0]
+
+
+def plain_matching(a, b):
+    """Simple tree matching by its recurrence."""
+    if a.label != b.label:
+        return 0
+    m, n = len(a.children), len(b.children)
+    best = [[0] * (n + 1) for _ in range(m + 1)]
+    for i in range(m):
+        for j in range(n):
+            pair = plain_matching(a.children[i], b.children[j])
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + pair)
+    return best[m][n] + 1
+
+
+def test_matching_equals_recurrence():
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = tree(rng, rng.randrange(1, 14)), tree(rng, rng.randrange(1, 14))
+        assert markup.matching(a, b, {})[0] == plain_matching(a, b)
+
+
+def test_merged_tree_holds_both():
+    rng = random.Random(5)
+    for _ in range(200):
+        shapes = [tree(rng, rng.randrange(1, 12)).shape() for _ in range(2)]
+        new = markup.merge(*[markup.from_shape(s) for s in shapes])
+        new.enumerate()
+        for shape in shapes:
+            own = markup.from_shape(shape)
+            assert own.shape() == shape
+            assert markup.matching(new, own, {})[0] == own.count()
+            places = markup.aligned(new, own)
+            assert -1 not in places and places == sorted(set(places))
+
+
+def blocks(text):
+    return [b.text for b in markup.Page(text).blocks]
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("", []),
+        ("just words", ["just words"]),
+        ("<p>a  b\n\tc<p>d", ["a b c", "d"]),
+        ("<p>on<b>e</b> t<i>wo</i><br>three", ["one two three"]),
+        ("<div>a<p>b</p>c</div>d", ["a", "b", "c", "d"]),
+        ("a &lt;b&gt; &amp;amp; &eacute;&#233;&#xe9; &nbsp; &unknown; &amp", ["a <b> &amp; ééé &unknown; &"]),
+        ("<p>1 < 2 and 3 > 2 <3", ["1 < 2 and 3 > 2 <3"]),
+        ("<p>a<!-- <p>no --> b<!-- open", ["a b"]),
+        ("<p>a<script>if (x<y) '</p>'</script>b<style>p{}</style>", ["ab"]),
+        ("<p>a<script>never closed", ["a"]),
+        ("<p>whole</p><p>broken off <a href='x", ["whole", "broken off"]),
+        ("<p title='a > b'>c</p><p title=\"stray>d</p>", ["c", "d"]),
+        ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", ["a", "b", "c", "d"]),
+        ("<table><tr><td>a<td>b<tr><th>c</table>", ["a", "b", "c"]),
+        ("<dl><dt>a<dd>b<dt>c</dl>", ["a", "b", "c"]),
+        ("</p></div><p>a</span>b</p>", ["ab"]),
+        ("<nav>n</nav><header>h</header><p>a</p><aside>s</aside><footer>f</footer>", ["a"]),
+        ("<div class='side-bar'>a</div><div id=sideBar>b</div>", ["a"]),
+        ("<div class='has-sidebar with-ads'><p>a</div>", ["a"]),
+        ("<p>a <span class=ad>buy</span> b", ["a", "b"]),
+        ("<article><header><h1>t</h1></header><p>a<footer>f</footer></article>", ["t", "a"]),
+        ("<article class=comment>c</article><article>a</article>", ["a"]),
+        ("<p hidden>a</p><p style='display: none'>b</p><p>c", ["c"]),
+        ("<form><p>a</form><button>b</button><p>c", ["c"]),
+        ("<HTML><BODY CLASS=nav><P>a</P></BODY></HTML>", ["a"]),
+    ],
+)
+def test_blocks(text, expected):
+    assert blocks(text) == expected
+
+
+def test_repeated_parts_are_folded():
+    few = markup.Page("<article><h1>t</h1><p>a<p>b <ul><li>x</ul></article>").shape
+    many = markup.Page("<article><h1>t</h1>" + "<p>a" * 50 + "<ul>" + "<li>x" * 9 + "</ul>").shape
+    assert few == many == "page(article(h1 p ul(li)))"
+    cards = "<div class=card-1><h2>a</h2></div><div class=card-2><h2>a</h2><p>b</div>"
+    assert markup.Page(cards).shape == "page(div.card-(h2 p))"
+    assert markup.Page("<div>a</div><div><p>b</div>").shape == "page(div div(p))"
+
+
+def test_deep_and_long_pages():
+    deep = markup.Page("<div>" * 30000 + "x" + "</div>" * 30000 + "y")
+    assert [b.text for b in deep.blocks] == ["x", "y"]
+    assert markup.from_shape(deep.shape).shape() == deep.shape
+    assert blocks("<p>" + "w " * 500000)[0].count("w") == 500000
+    assert blocks("<a href=\"" * 3000) == []
+
+
+def article(text):
+    """The whole article, for pages that mark it and hold nothing else in it."""
+    inside = re.search(r"<article>(.*)</article>", text, re.S)[1]
+    return " ".join(entities.unescape(re.sub(r"<[^>]*>", " ", inside)).split())
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_plain_extraction(spark, sf):
+    pages = pd.read_parquet(f"/root/testdata/{sf}/pages.parquet").set_index("page_id")
+    found = QUERIES["op13_wrapper_induction"](spark, f"/root/testdata/{sf}").toPandas()
+    assert sorted(found.page_id) == sorted(pages.index)
+    for row in found.itertuples():
+        assert row.text == article(pages.html[row.page_id])
+        assert row.n_chars == len(row.text) and row.url == pages.url[row.page_id]
+
+
+def site(layout, texts, host="a.example"):
+    return [(i, f"http://{host}/{i}", layout.format(*t)) for i, t in enumerate(texts)]
+
+
+def extract(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in wrapper_induction.extracted(df).collect()}
+
+
+def test_constant_nodes_are_template(spark):
+    """Nothing is named here: what all pages share goes, what varies stays."""
+    layout = (
+        "<div>Home page of the town</div><div><a href=/x>One {0}</a> <a href=/y>Two</a></div>"
+        "<div><h2>{0}</h2><p>{1}</p><p>Read on in our paper</p></div><div>All rights</div>"
+    )
+    texts = [(f"Title {i}", f"Body of page {i}") for i in range(12)]
+    found = extract(spark, site(layout, texts))
+    assert found == {i: f"Title {i} Body of page {i}" for i in range(12)}
+
+
+def test_shapes_of_a_host_are_aligned(spark):
+    """A part that only some pages have does not shift the parts behind it."""
+    layout = "<div>The town paper</div>{2}<div><p>{1}</p></div><div>Imprint <b>here</b></div>"
+    extra = "<div><h3>Free to read</h3><p>today</p></div>"
+    rows = [("", f"Body {i}", extra if i % 2 else "") for i in range(20)]
+    found = extract(spark, site(layout, rows))
+    assert found == {i: f"Body {i}" for i in range(20)}
+
+
+def test_copies_are_no_evidence(spark):
+    """Equal articles of a host stay, however many pages hold them."""
+    layout = "<nav>{0}</nav><article><h1>News</h1><p>{1}</p></article>"
+    rows = site(layout, [(f"link {i}", "The same article") for i in range(30)])
+    assert set(extract(spark, rows).values()) == {"News The same article"}
+    few = site(layout, [("", f"Article {i}") for i in range(4)], "b.example")
+    assert extract(spark, few) == {i: f"News Article {i}" for i in range(4)}
+
+
+def test_templates_do_not_depend_on_partitions(spark):
+    rng = random.Random(6)
+    rows = [("h", tree(rng, rng.randrange(2, 12)).shape(), rng.randrange(3)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "host string, shape string, pages long").dropDuplicates(["shape"])
+    found = {wrapper_induction.templates(df.repartition(n)).first().shape for n in (1, 5)}
+    assert len(found) == 1
+    template = markup.from_shape(found.pop())
+    template.enumerate()
+    for _, shape, _ in rows:
+        assert -1 not in markup.aligned(template, markup.from_shape(shape))
+
+
+def test_odd_rows(spark):
+    page = "<nav>menu</nav><article><p>text</article>"
+    rows = [
+        (1, None, page, "old", "h", 1, "s"),
+        (2, "", "", None, None, None, None),
+        (3, "http://a/x", None, "old", "h", 1, "s"),
+        (4, "no address", page, "old", "h", 1, "s"),
+        (5, "HTTP://User@A:80/y?q#f", page, "old", "h", 1, "s"),
+        (5, "HTTP://User@A:80/y?q#f", page, "old", "h", 1, "s"),
+        (None, "http://[::1]/", "<p>" + "long " * 100000, "old", "h", 1, "s"),
+        (7, "http://a/z", "<nav>only a menu</nav>", "old", "h", 1, "s"),
+    ]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    found = wrapper_induction.extracted(pages)
+    assert sorted(found.columns) == sorted(c for c in pages.columns if c != "html")
+    found = found.toPandas()
+    texts = {k: sorted(v.text) for k, v in found.fillna({"page_id": -1}).groupby("page_id")}
+    assert texts.pop(-1.0) == [" ".join(["long"] * 100000)]
+    assert texts == {1: ["text"], 2: [""], 3: [""], 4: ["text"], 5: ["text", "text"], 7: [""]}
+    assert found.host.dropna().eq("h").all()
+    assert wrapper_induction.extracted(spark.createDataFrame([], SCHEMA)).count() == 0
+    hosts = [wrapper_induction.host_of(r[1]) for r in rows]
+    assert hosts == [None, None, "a", None, "a", "a", "[::1]", "a"]
