@@ -201,7 +201,12 @@ def extracted(pages: DataFrame, text: str = "text", label: str = "wrappers") ->
     facts = scratch.save(_not_content(own, placed))
     scratch.drop(shapes)
     at, constants, menus = (fresh(read, n) for n in ("places", "constants", "menus"))
-    known = placed.join(facts, "host", "left").toDF(hosts, shape, at, constants, menus)
+    # Written, so that Spark knows its size: a small one goes to all tasks, and the
+    # pages, a third of which may have one host and shape, move only beside a large one.
+    known = scratch.save(placed.join(facts, "host", "left"))
+    scratch.drop(placed)
+    scratch.drop(facts)
+    known = known.toDF(hosts, shape, at, constants, menus)
     none = F.array().cast("array<struct<node:int,text:bigint>>")
 
     def is_content(b: Column) -> Column:
