@@ -146,6 +146,14 @@ ORACLES: dict[str, str] = {
     "source_validation": "select n_nationkey, n_name, n_regionkey, "
     "exists (select 1 from supplier where s_nationkey = n_nationkey and s_acctbal < 0) as valid "
     "from nation",
+    "source_verdicts": "select n_nationkey, case when exists (select 1 from supplier "
+    "where s_nationkey = n_nationkey and s_acctbal < 0) then 'ok' "
+    "when n_regionkey = 1 then 'empty' else 'missing' end as verdict from nation",
+    "csv_records_in_ranges": "select doc_id, text, lang, source, n_chars from documents",
+    "landed_nested": "select * from supplier",
+    "landed_inch_marks": "select * replace (p_name || ' ' || p_size || '\" wide' as p_name) from part",
+    "landed_multiline": "select doc_id, 'say \"\"' || lang || '\"' || chr(10) || text "
+    "|| chr(13) || chr(10) as text, lang, source, n_chars from documents",
     "table_profile": _profiles(),
     "enforce_schema": "select l_orderkey::integer as l_orderkey, l_linenumber, "
     "trunc(l_quantity)::integer as l_quantity, "

@@ -7,7 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -18,8 +17,11 @@ from millrace.functions.columns import ref
 from millrace.functions.digests import combined_md5
 from millrace.functions.runs import new_run_id, utc_now
 from millrace.operators.logrules import audit_rules, metadata_rules
+from millrace.session import drop_path, scratch_path
 from millrace.sinks.logs import AUDIT_SCHEMA, FAILED, METADATA_SCHEMA, SUCCESS, append_record
-from millrace.sources.files import file_facts
+from millrace.sources.csv_ranges import csv_file_facts, range_facts, read_records, record_spans
+from millrace.sources.files import with_checksums
+from millrace.sources.listing import OK, list_sources, source_verdicts
 from millrace.sources.readers import CSV_READ_OPTIONS, LOAD_DATE, all_strings, read_table
 
 # Written as read: NULL and the empty string stay apart, blanks stay.
@@ -67,36 +69,53 @@ class RunSummary:
 
 @dataclass(frozen=True)
 class _Source:
+    """What is known of a source before it is copied.
+
+    `spans` are the pieces in which its records are read, if line ends lie
+    inside quotes; `scratch` is what they need on disk.
+    """
+
     size: int
     checksum: str
+    files: int
+    first_file: str
+    spans: DataFrame | None = None
+    scratch: str | None = None
 
 
 def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
     """Count, size and checksum of the source files; raise if they cannot be landed as they are.
 
-    The files are read once, before any landed row is touched. Text that is no
-    UTF-8, a quote that is never closed, line breaks inside quotes of a source
-    that is not declared `multiline`, and files with unlike headers would be
-    landed as other rows.
+    The files are read once in byte ranges, before any landed row is touched.
+    Text that is no UTF-8, a quote that is never closed, line breaks inside
+    quotes of a source that is not declared `multiline`, and files with unlike
+    headers would be landed as other rows.
     """
-    try:
-        facts = file_facts(spark, contract.source_path)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            raise LandingError(f"source is missing: {contract.source_path}") from exc
-        raise
-    found = facts.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("file_size_bytes").alias("size"),
-        combined_md5(F.col("checksum")).alias("checksum"),
-        F.min(F.when(~F.col("is_utf8"), F.col("file_name"))).alias("encoding"),
-        F.min(F.when(F.col("open_quote"), F.col("file_name"))).alias("open_quote"),
-        F.min(F.when(F.col("quoted_breaks"), F.col("file_name"))).alias("breaks"),
-        (F.min("header_md5") == F.max("header_md5")).alias("one_header"),
-    ).first()
-    # Files of no bytes are not listed.
-    if not found["files"]:
-        raise LandingError(f"source is empty: {contract.source_path}")
+    listed = list_sources(spark, {contract.name: contract.source_path})
+    verdict = source_verdicts(listed).first()
+    if verdict["verdict"] != OK:
+        raise LandingError(f"source is {verdict['verdict']}: {contract.source_path}")
+    scratch = None
+    ranges = range_facts(listed)
+    if contract.multiline:
+        scratch = scratch_path(spark, f"ranges-{contract.name}")
+        ranges.write.parquet(scratch)
+        ranges = spark.read.schema(ranges.schema).parquet(scratch)
+    file_name = F.element_at(F.split("file", "/"), -1)
+    found = (
+        csv_file_facts(ranges)
+        .withColumn("file_name", file_name)
+        .agg(
+            F.min("file").alias("first_file"),
+            F.bool_and(F.col("md5").isNotNull()).alias("all_hashed"),
+            combined_md5(F.col("md5")).alias("checksum"),
+            F.min(F.when(~F.col("is_utf8"), F.col("file_name"))).alias("encoding"),
+            F.min(F.when(F.col("open_quote"), F.col("file_name"))).alias("open_quote"),
+            F.min(F.when(F.col("quoted_breaks"), F.col("file_name"))).alias("breaks"),
+            (F.min("header_md5") == F.max("header_md5")).alias("one_header"),
+        )
+        .first()
+    )
     if found["encoding"]:
         raise LandingError(f"{contract.name}: {found['encoding']} is not UTF-8")
     if found["open_quote"]:
@@ -107,53 +126,76 @@ def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
         )
     if not found["one_header"]:
         raise LandingError(f"{contract.name}: the source's files differ in their headers")
-    return _Source(found["size"], found["checksum"])
+    checksum = found["checksum"]
+    if not found["all_hashed"]:
+        whole = listed.where("file_size_bytes > 0").withColumnRenamed("file", "path")
+        checksum = with_checksums(whole).agg(combined_md5(F.col("checksum"))).first()[0]
+    spans = record_spans(ranges) if found["breaks"] else None
+    size, files = verdict["file_size_bytes"], verdict["files"]
+    return _Source(size, checksum, files, found["first_file"], spans, scratch)
 
 
-def read_raw(spark: SparkSession, contract: Dataset) -> DataFrame:
+def read_raw(spark: SparkSession, contract: Dataset, source: _Source | None = None) -> DataFrame:
     """The source's rows as text.
 
     A row with more fields than the header fails the query, a shorter one is
-    filled with NULL.
+    filled with NULL. Files with line ends inside quotes are read in parallel
+    all the same, in spans cut at record starts.
     """
-    header = read_table(spark, contract.source_path, "csv", multiline=contract.multiline).columns
+    source = source or _inspect(spark, contract)
+    multiline = source.spans is not None
+    header = read_table(spark, source.first_file, "csv", multiline=multiline).columns
     if LOAD_DATE in header:
         raise LandingError(f"{contract.name}: the source has a column named {LOAD_DATE}")
-    raw = (
-        spark.read.options(**CSV_READ_OPTIONS)
-        .options(
-            multiLine=contract.multiline,
-            # That all headers are alike is known from the checksum pass; Spark's
-            # own check would reject blank and repeated names.
-            enforceSchema=True,
-            nullValue=_NO_VALUE,
-            columnNameOfCorruptRecord=_MALFORMED,
-        )
-        .schema(all_strings([*header, _MALFORMED]))
-        .csv(contract.source_path)
-    )
-    reparsed = F.from_csv(
-        ref(_MALFORMED),
+    line = ref(_MALFORMED)
+    fields = F.from_csv(
+        line,
         ", ".join(f"c{i} string" for i in range(len(header) + 1)),
         {"escape": '"', "nullValue": _NO_VALUE},
     )
-    too_long = ref(_MALFORMED).isNotNull() & reparsed[f"c{len(header)}"].isNotNull()
+    if multiline:
+        raw = read_records(source.spans).select(F.col("record").alias(_MALFORMED))
+        raw = raw.select(line, fields.alias("fields"))
+        fields = F.col("fields")
+        columns = [fields[f"c{i}"].alias(name) for i, name in enumerate(header)]
+        too_long = fields[f"c{len(header)}"].isNotNull()
+    else:
+        raw = (
+            spark.read.options(**CSV_READ_OPTIONS)
+            .options(
+                # That all headers are alike is known from the inspection; Spark's
+                # own check would reject blank and repeated names.
+                enforceSchema=True,
+                recursiveFileLookup=True,
+                nullValue=_NO_VALUE,
+                columnNameOfCorruptRecord=_MALFORMED,
+            )
+            .schema(all_strings([*header, _MALFORMED]))
+            .csv(contract.source_path)
+        )
+        scanned = len(raw.inputFiles())
+        if scanned != source.files:
+            raise LandingError(
+                f"{contract.name}: {source.files} files were listed, {scanned} would be read"
+            )
+        columns = [ref(c) for c in header]
+        too_long = line.isNotNull() & fields[f"c{len(header)}"].isNotNull()
     complaint = F.raise_error(
-        F.concat(F.lit(f"{contract.name}: row has more than {len(header)} fields: "), _MALFORMED)
+        F.concat(F.lit(f"{contract.name}: row has more than {len(header)} fields: "), line)
     )
-    first = F.when(too_long, complaint).otherwise(ref(header[0])).alias(header[0])
-    return raw.select(first, *[ref(c) for c in header[1:]])
+    first = F.when(too_long, complaint).otherwise(columns[0]).alias(header[0])
+    return raw.select(first, *columns[1:])
 
 
 def _copy(
-    spark: SparkSession, contract: Dataset, load_date: date
+    spark: SparkSession, contract: Dataset, load_date: date, source: _Source
 ) -> tuple[list[str], int]:
     """Write the rows under their load date; returns column names and row count.
 
     The count comes with the writing tasks themselves. They follow no shuffle,
     so a task that is run again is not counted twice.
     """
-    raw = read_raw(spark, contract)
+    raw = read_raw(spark, contract, source)
     facts = Observation(f"landing {contract.name}")
     (
         raw.observe(facts, F.count(F.lit(1)).alias("rows"))
@@ -209,7 +251,11 @@ def land(
         if contract.file_format.strip().lower() != "csv":
             raise LandingError(f"{contract.name}: only CSV sources are landed")
         source = _inspect(spark, contract)
-        columns, rows = _copy(spark, contract, load_date)
+        try:
+            columns, rows = _copy(spark, contract, load_date, source)
+        finally:
+            if source.scratch:
+                drop_path(spark, source.scratch)
         record = {
             "dataset_name": contract.name,
             "source_file_name": file_name,

@@ -22,9 +22,9 @@ from millrace.functions.runs import duration_seconds, load_date, run_id
 from millrace.operators import cleaning, dedup, logrules, profiles, quality, references, schema
 from millrace.plans import landing, reports, silver
 from millrace.plans.transform import transform
-from millrace.session import scratch_path
+from millrace.session import path_exists, scratch_path
 from millrace.sinks import logs, tables
-from millrace.sources import files, readers
+from millrace.sources import csv_ranges, files, listing, readers
 from millrace.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +125,40 @@ def source_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.check_sources(table(spark, sf_dir, "nation"), found, "n_nationkey")
 
 
+@query
+def source_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's file of indebted suppliers: there, without a byte, or not there."""
+    root = scratch_path(spark, "verdicts")
+    export_csv(table(spark, sf_dir, "supplier").where("s_acctbal < 0"), root, "s_nationkey")
+    nations = table(spark, sf_dir, "nation")
+    # A file without a byte for all nations of one region that have none.
+    blank = spark.createDataFrame([], "value string").coalesce(1)
+    sources = {}
+    for row in nations.select("n_nationkey", "n_regionkey").collect():
+        path = f"{root}/s_nationkey={row.n_nationkey}"
+        if row.n_regionkey == 1 and not path_exists(spark, path):
+            blank.write.text(path)
+        sources[str(row.n_nationkey)] = path
+    found = listing.source_verdicts(listing.list_sources(spark, sources))
+    return found.select(F.col("source").cast("int").alias("n_nationkey"), "verdict")
+
+
+@query
+def csv_records_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents read from CSV files that are cut inside quoted text as often as not."""
+    root = scratch_path(spark, "ranges")
+    source = export_csv(table(spark, sf_dir, "documents"), f"{root}/documents")
+    listed = listing.list_sources(spark, {"documents": source})
+    facts = csv_ranges.range_facts(listed, range_bytes=1 << 16)
+    facts.write.parquet(f"{root}/facts")
+    facts = spark.read.schema(facts.schema).parquet(f"{root}/facts")
+    records = csv_ranges.read_records(csv_ranges.record_spans(facts))
+    names = fx.DOCUMENTS.schema.names
+    text = ", ".join(f"`{n}` string" for n in names)
+    raw = records.select(F.from_csv("record", text, {"escape": '"'}).alias("fields"))
+    return schema.enforce_schema(raw.select("fields.*"), fx.DOCUMENTS.schema, "documents")
+
+
 # Schema, casts, names
 
 
@@ -383,6 +417,46 @@ def landed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.enforce_schema(bronze, contract.schema, contract.name, keep=["load_date"])
 
 
+def _landed(spark: SparkSession, contract: Dataset, source: str, root: str) -> DataFrame:
+    contract = replace(contract, source_path=source, bronze_path=f"{root}/bronze")
+    where = landing.Logs(f"{root}/metadata", f"{root}/audit")
+    landing.land(spark, contract, where, clock=lambda: RUN_TIME)
+    bronze = readers.read_bronze(spark, contract)
+    return schema.enforce_schema(bronze, contract.schema, contract.name)
+
+
+@query
+def landed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers landed from a source whose files lie in folders of unlike depth."""
+    root = scratch_path(spark, "nested")
+    suppliers = table(spark, sf_dir, "supplier")
+    indebted = F.coalesce(F.col("s_acctbal") < 0, F.lit(False))
+    export_csv(suppliers.where(indebted), f"{root}/source/indebted/files")
+    export_csv(suppliers.where(~indebted), f"{root}/source/others")
+    return _landed(spark, fx.RELATIONAL["supplier"], f"{root}/source", root)
+
+
+@query
+def landed_inch_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose names hold a quote that quotes nothing, landed from files without any quoting."""
+    root = scratch_path(spark, "inches")
+    parts = table(spark, sf_dir, "part")
+    named = F.concat("p_name", F.lit(' '), "p_size", F.lit('" wide'))
+    source = f"{root}/part.csv"
+    parts.withColumn("p_name", named).write.options(header=True, quote="").csv(source)
+    return _landed(spark, fx.RELATIONAL["part"], source, root)
+
+
+@query
+def landed_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with line ends inside quotes, landed from ranges of their files."""
+    root = scratch_path(spark, "multiline")
+    broken = F.concat(F.lit('say ""'), "lang", F.lit('"\n'), "text", F.lit("\r\n"))
+    documents = table(spark, sf_dir, "documents").withColumn("text", broken)
+    source = export_csv(documents, f"{root}/documents.csv")
+    return _landed(spark, replace(fx.DOCUMENTS, multiline=True), source, root)
+
+
 @query
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a run: its identifier, load date and duration."""

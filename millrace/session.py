@@ -83,6 +83,12 @@ def _hadoop(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with its scheme, as the cluster's default file system would resolve it."""
+    fs, target = _hadoop(spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _hadoop(spark, path)
     return fs.exists(target)

@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-import codecs
 import hashlib
 from collections.abc import Callable, Iterator
-from urllib.parse import quote
 
-import numpy as np
 import pyarrow as pa
-from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.functions.columns import unused
+from millrace.sources.stores import Opener, store_opener
 
 _BLOCK_BYTES = 8 << 20
-_FACTS = (
-    "file_name string, file_size_bytes long, checksum string, is_utf8 boolean, "
-    "open_quote boolean, quoted_breaks boolean, header_md5 string"
-)
+_MANIFEST = "file_name string, file_size_bytes long, checksum string"
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -37,90 +31,37 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     )
 
 
-def _storage(spark: SparkSession) -> dict[str, str]:
-    """The settings of an S3-compatible store that Hadoop was given."""
-    names = ("endpoint", "access.key", "secret.key")
-    conf = spark._jsc.hadoopConfiguration()
-    found = {n: conf.get(f"fs.s3a.{n}") for n in names}
-    return {n: v for n, v in found.items() if v}
-
-
-def _reader(
-    storage: dict[str, str], schema: pa.Schema
+def _hasher(
+    opened: Opener, schema: pa.Schema
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Facts of whole files, read block by block whatever their size.
-
-    An inner function travels to the workers as it is, so that they need not
-    have this package.
-    """
-
-    def opened(path: str):
-        scheme, _, rest = path.partition(":")
-        if scheme == "file":
-            return pa_fs.LocalFileSystem(), "/" + rest.lstrip("/")
-        if scheme in ("s3", "s3a", "s3n"):
-            options = {
-                "endpoint_override": storage.get("endpoint"),
-                "access_key": storage.get("access.key"),
-                "secret_key": storage.get("secret.key"),
-            }
-            given = {k: v for k, v in options.items() if v}
-            return pa_fs.S3FileSystem(**given), rest.lstrip("/")
-        return pa_fs.FileSystem.from_uri(quote(path, safe=":/"))
-
-    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
             for row in rows:
-                digest, decoder = hashlib.md5(), codecs.getincrementaldecoder("utf-8")()
-                is_utf8, inside, breaks, header = True, 0, False, None
+                digest = hashlib.md5()
                 filesystem, path = opened(row.pop("path"))
                 with filesystem.open_input_stream(path) as stream:
                     while block := stream.read(_BLOCK_BYTES):
                         digest.update(block)
-                        if is_utf8:
-                            try:
-                                decoder.decode(block)
-                            except UnicodeDecodeError:
-                                is_utf8 = False
-                        codes = np.frombuffer(block, np.uint8)
-                        # 1 after an odd number of quotes: inside a quoted field.
-                        quoted = np.bitwise_xor.accumulate((codes == 34).view(np.uint8)) ^ inside
-                        breaks = breaks or bool((quoted[codes == 10] == 1).any())
-                        if header is None:
-                            ends = np.flatnonzero((codes == 10) & (quoted == 0))
-                            first = block[: ends[0]] if len(ends) else block
-                            header = first.removeprefix(codecs.BOM_UTF8).replace(b'"', b"").strip()
-                        inside = int(quoted[-1])
-                if is_utf8:
-                    try:
-                        decoder.decode(b"", final=True)
-                    except UnicodeDecodeError:
-                        is_utf8 = False
                 row["checksum"] = digest.hexdigest()
-                row |= {"is_utf8": is_utf8, "open_quote": bool(inside), "quoted_breaks": breaks}
-                row["header_md5"] = hashlib.md5((header or b"").lower()).hexdigest()
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return facts
+    return run
 
 
-def file_facts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Name, size and MD5 of each file, and what its bytes say about it as CSV.
+def with_checksums(files: DataFrame) -> DataFrame:
+    """(file_name, file_size_bytes, checksum): the MD5 of each file of (path, file_name, file_size_bytes).
 
-    is_utf8: whether it can be decoded. open_quote: whether it ends inside a
-    quoted field. quoted_breaks: whether a line ends inside one. header_md5: of
-    its first line without quotes, in lower case. A task reads its files in
-    order, in blocks.
+    A file is read in blocks by one task, whatever its size: an MD5 has an order.
     """
-    files = list_files(spark, path, pattern).select("path", "file_name", "file_size_bytes")
-    schema = to_arrow_schema(T.StructType.fromDDL(_FACTS))
-    return files.mapInArrow(_reader(_storage(spark), schema), _FACTS)
+    schema = to_arrow_schema(T.StructType.fromDDL(_MANIFEST))
+    narrow = files.select("path", "file_name", "file_size_bytes")
+    return narrow.mapInArrow(_hasher(store_opener(files.sparkSession), schema), _MANIFEST)
 
 
 def file_manifest(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Name, size and MD5 of each file."""
-    return file_facts(spark, path, pattern).select("file_name", "file_size_bytes", "checksum")
+    """Name, size and MD5 of each file that holds bytes."""
+    return with_checksums(list_files(spark, path, pattern))
 
 
 def check_sources(expected: DataFrame, files: DataFrame, key: str) -> DataFrame:

@@ -349,3 +349,44 @@ def test_combined_logs(spark):
     assert sorted(map(str, combine_logs(a, b).collect())) == sorted(
         ["Row(n=1, s='x', t=None)", "Row(n=None, s='y', t=True)"]
     )
+
+
+def test_files_in_subfolders_are_landed(spark, lake):
+    contract = lake("nested", None)
+    Path(f"{contract.source_path}/more/deep").mkdir(parents=True)
+    Path(f"{contract.source_path}/more/k=1").mkdir()
+    Path(f"{contract.source_path}/_hidden").mkdir()
+    for i, name in enumerate(["1.csv", "more/2.csv", "more/deep/3.csv", "more/k=1/4.csv"]):
+        Path(f"{contract.source_path}/{name}").write_text(f"id,name,v\n{i},a,2\n")
+    Path(f"{contract.source_path}/_hidden/5.csv").write_text("id,name,v\n9,a,2\n")
+    Path(f"{contract.source_path}/none.csv").touch()
+    run = land(spark, contract, lake.logs, Clock())
+    assert run.row_count == 4
+    bronze = read_bronze(spark, contract)
+    assert sorted(r.id for r in bronze.collect()) == list("0123")
+    assert bronze.columns == ["id", "name", "v", "load_date"]
+    assert metadata(spark, lake)[0].file_size_bytes == 4 * len("id,name,v\n0,a,2\n")
+
+
+def test_quotes_in_plain_text_are_characters(spark, lake):
+    text = 'id,name,v\n1,5" pipe,2\n2,6" hose,3\n3,"say ""hi""",4\n'
+    contract = lake("inches", text)
+    assert land(spark, contract, lake.logs, Clock()).row_count == 3
+    rows = read_bronze(spark, contract).orderBy("id").collect()
+    assert [r.name for r in rows] == ['5" pipe', '6" hose', 'say "hi"']
+
+
+def test_multiline_source_in_ranges(spark, lake, monkeypatch):
+    """Cut in the middle of quoted text, a source lands as by one task; long rows still fail."""
+    monkeypatch.setattr("millrace.sources.csv_ranges.file_ranges.__defaults__", (40,))
+    rows = [f'{i},"line one of {i}\r\nline ""two"", of {i}\n",{i}' for i in range(60)]
+    contract = lake("text", "id,name,v\n" + "\n".join(rows) + '\n60,"",\n61,x\n', multiline=True)
+    content = Path(contract.source_path).read_bytes()
+    run = land(spark, contract, lake.logs, Clock())
+    assert (run.row_count, run.checksum) == (62, hashlib.md5(content).hexdigest())
+    landed = {r.id: r for r in read_bronze(spark, contract).collect()}
+    assert landed["7"].name == 'line one of 7\r\nline "two", of 7\n'
+    assert (landed["60"].name, landed["61"].v) == (None, None)
+    Path(contract.source_path).write_text('id,name,v\n1,"a\nb",2,3\n')
+    with pytest.raises(Exception, match="row has more than 3 fields"):
+        land(spark, contract, lake.logs, Clock())
