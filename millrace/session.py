@@ -97,8 +97,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def drop_path(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
     fs.delete(target, True)
-
-
-def make_folder(spark: SparkSession, path: str) -> None:
-    fs, target = _hadoop(spark, path)
-    fs.mkdirs(target)

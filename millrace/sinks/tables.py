@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from millrace.errors import ContractError
 from millrace.functions.columns import ref
 from millrace.operators.dedup import dedup_by_key
-from millrace.session import drop_path, make_folder, path_exists, scratch_path, scratch_root
+from millrace.session import drop_path, path_exists, scratch_root
 
 
 def clustered(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
@@ -42,7 +43,8 @@ def write_table(
 
     `overwrite` of a partitioned table replaces only the partitions that `df`
     has rows for, unless `df` is the `whole` table; `merge` is an upsert by `key`. Rows that already
-    lie together by partition are not shuffled again.
+    lie together by partition are not shuffled again. A write to the table that
+    broke off is completed first, unless all of it is replaced.
     """
     if mode == "merge":
         upsert(
@@ -55,6 +57,12 @@ def write_table(
             version=version,
         )
         return
+    spark = df.sparkSession
+    if mode == "overwrite" and (whole or not partition_columns):
+        # Nothing of a write that broke off would be left.
+        drop_path(spark, _staging(spark, path))
+    else:
+        recover(spark, path)
     if not rows_are_clustered:
         df = clustered(df, partition_columns)
     _write(df, path, write_format, mode, compression, partition_columns, "static" if whole else "dynamic")
@@ -121,44 +129,45 @@ def upsert(
 
     `changes` has unique keys, the table's columns, and is read several times,
     so pass a written table. Only the partitions that changed rows lie in or
-    come from are read and replaced. Those that lose their last row are removed
-    first: whatever they held is in `changes`, so a run that breaks off is made
-    good by repeating it. A table without partitions is replaced through staging.
+    come from are read and replaced. Their next state is complete in a redo
+    record before anything of the table goes: a run that breaks off leaves the
+    table as it was, or is completed by `recover`, which every later write to
+    the table starts with.
     """
     spark = changes.sparkSession
     parts = list(partition_columns)
-    _finish_interrupted(spark, path, write_format, compression, parts)
-    if not path_exists(spark, path):
-        first = clustered(changes, parts)
-        _write(first, path, write_format, "overwrite", compression, parts, "static")
+    recover(spark, path)
+    found = _schema(spark, path, write_format)
+    if found is None:
+        replace_table(changes, path, write_format, compression, parts)
         return
     # Types of partition columns come from the changes; a listing would guess them.
     types = {f.name: f for f in changes.schema.fields if f.name in parts}
-    found = spark.read.format(write_format).load(path).schema
     schema = T.StructType([types.get(f.name, f) for f in found.fields])
-    read = lambda: spark.read.format(write_format).schema(schema).load(path)
-    _same_columns(read(), changes, path)
+    base = spark.read.format(write_format).schema(schema).load(path)
+    _same_columns(base, changes, path)
     if not parts:
-        merged = merge_rows(read(), changes, key, version)
-        replace_table(merged, path, write_format, compression, parts)
+        replace_table(merge_rows(base, changes, key, version), path, write_format, compression)
         return
     if changes.isEmpty():
         return
-    # Written, because the table it comes from is about to change.
-    listed = scratch_path(spark, "touched")
-    _touched(read(), changes, key, parts).write.parquet(listed)
+    listed = f"{_staging(spark, path)}/touched"
+    _touched(base, changes, key, parts).write.mode("overwrite").parquet(listed)
     touched = spark.read.schema(T.StructType([types[p] for p in parts])).parquet(listed)
+    kept = base.alias("b").join(touched.alias("c"), _same_key(parts, "b", "c"), "left_semi")
+    merged = merge_rows(kept, changes, key, version)
+    _stage(merged, path, write_format, compression, parts, whole=False)
+    _publish_staged(spark, path)
 
-    def merged() -> DataFrame:
-        base = read().alias("b").join(touched.alias("c"), _same_key(parts, "b", "c"), "left_semi")
-        return merge_rows(base, changes, key, version)
 
-    filled = merged().select(*[ref(p) for p in parts]).distinct()
-    vacated = touched.alias("b").join(filled.alias("c"), _same_key(parts, "b", "c"), "left_anti")
-    for row in vacated.select(*[ref(p).cast("string") for p in parts]).toLocalIterator():
-        drop_path(spark, "/".join([path.rstrip("/"), *map(_folder, [spark] * len(parts), parts, row)]))
-    _write(clustered(merged(), parts), path, write_format, "overwrite", compression, parts, "dynamic")
-    drop_path(spark, listed)
+def _schema(spark: SparkSession, path: str, write_format: str) -> T.StructType | None:
+    """The columns of the table at `path`, if there is one."""
+    try:
+        return spark.read.format(write_format).load(path).schema
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def _folder(spark: SparkSession, column: str, value: str | None) -> str:
@@ -182,53 +191,77 @@ def _touched(
 
 
 def _staging(spark: SparkSession, path: str) -> str:
-    """Where the next state of the table at `path` is written first; fixed per table."""
-    return f"{scratch_root(spark)}/replace-{hashlib.md5(path.encode()).hexdigest()}"
+    """Where the redo record of the table at `path` lies; fixed per table.
 
+    rows: the next state, of the whole table or of the touched partitions.
+    touched: these partitions. intent: how to write them; written last, so that
+    a record with an intent is complete.
+    """
+    return f"{scratch_root(spark)}/replace-{hashlib.md5(path.encode()).hexdigest()}"
 
-def replace_table(
-    df: DataFrame,
-    path: str,
-    write_format: str = "parquet",
-    compression: str = "snappy",
-    partition_columns: Sequence[str] = (),
-) -> None:
-    """Replace the whole table at `path` by `df`, which may read that very table.
 
-    The new rows are complete in staging before the old ones go. If the driver
-    dies between the two, the next upsert finishes the copy.
-    """
-    spark = df.sparkSession
-    staging = _staging(spark, path)
-    clustered(df, partition_columns).write.mode("overwrite").parquet(staging)
-    # From here on the replacement will be completed, by this run or a later one.
-    make_folder(spark, f"{staging}-intent")
-    _publish_staged(spark, path, write_format, compression, partition_columns)
+_INTENT = "write_format string, compression string, partition_columns array<string>, whole boolean"
 
 
-def _publish_staged(
-    spark: SparkSession,
+def _stage(
+    df: DataFrame,
     path: str,
     write_format: str,
     compression: str,
     partition_columns: Sequence[str],
+    whole: bool,
 ) -> None:
+    """Write the redo record of a table; from here on it will be completed, by this run or a later one."""
+    spark = df.sparkSession
+    staging = _staging(spark, path)
+    clustered(df, partition_columns).write.mode("overwrite").parquet(f"{staging}/rows")
+    row = (write_format, compression, list(partition_columns), whole)
+    intent = spark.createDataFrame([row], _INTENT).coalesce(1)
+    intent.write.mode("overwrite").parquet(f"{staging}/intent")
+
+
+def _publish_staged(spark: SparkSession, path: str) -> None:
+    """Bring the table to the state of its redo record; doing it again changes nothing.
+
+    Rows are written first and partitions that lost their last row go after
+    that, so that no row is ever without a place.
+    """
     staging = _staging(spark, path)
-    staged = spark.read.parquet(staging)
-    _write(staged, path, write_format, "overwrite", compression, partition_columns, "static")
+    intent = spark.read.schema(_INTENT).parquet(f"{staging}/intent").first()
+    rows = spark.read.parquet(f"{staging}/rows")
+    parts = intent.partition_columns
+    overwrite = "static" if intent.whole else "dynamic"
+    _write(rows, path, intent.write_format, "overwrite", intent.compression, parts, overwrite)
+    if not intent.whole:
+        touched = spark.read.parquet(f"{staging}/touched")
+        filled = rows.select(*[ref(p) for p in parts]).distinct()
+        gone = touched.alias("b").join(filled.alias("c"), _same_key(parts, "b", "c"), "left_anti")
+        for row in gone.select(*[ref(p).cast("string") for p in parts]).toLocalIterator():
+            folders = [_folder(spark, p, v) for p, v in zip(parts, row, strict=True)]
+            drop_path(spark, "/".join([path.rstrip("/"), *folders]))
+    drop_path(spark, f"{staging}/intent")
     drop_path(spark, staging)
-    drop_path(spark, f"{staging}-intent")
 
 
-def _finish_interrupted(
-    spark: SparkSession,
+def recover(spark: SparkSession, path: str) -> bool:
+    """Complete a write to the table at `path` that broke off; whether there was one."""
+    pending = path_exists(spark, f"{_staging(spark, path)}/intent/_SUCCESS")
+    if pending:
+        _publish_staged(spark, path)
+    return pending
+
+
+def replace_table(
+    df: DataFrame,
     path: str,
-    write_format: str,
-    compression: str,
-    partition_columns: Sequence[str],
+    write_format: str = "parquet",
+    compression: str = "snappy",
+    partition_columns: Sequence[str] = (),
 ) -> None:
-    """Complete a replacement that stopped after its staging was done."""
-    staging = _staging(spark, path)
-    staged = path_exists(spark, f"{staging}/_SUCCESS") and path_exists(spark, f"{staging}-intent")
-    if staged and not path_exists(spark, f"{path}/_SUCCESS"):
-        _publish_staged(spark, path, write_format, compression, partition_columns)
+    """Replace the whole table at `path` by `df`, which may read that very table.
+
+    The new rows are complete in a redo record before the old ones go. If the
+    driver dies between the two, `recover` or the next write finishes the copy.
+    """
+    _stage(df, path, write_format, compression, partition_columns, whole=True)
+    _publish_staged(df.sparkSession, path)

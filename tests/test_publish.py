@@ -178,6 +178,73 @@ def test_an_interrupted_replacement_is_finished(spark, root, monkeypatch):
     )
 
 
+class Killed(Exception):
+    """As if the driver died."""
+
+
+@pytest.mark.parametrize("stop", range(5))
+def test_no_row_is_lost_wherever_an_upsert_breaks_off(spark, root, monkeypatch, stop):
+    """Key 1 moves from one partition to another, which leaves its old one empty."""
+    path = f"{root}/t"
+    options = {"partition_columns": ["p"], "key": ["k"]}
+    write_table(frame(spark, [(1, "a", 1), (2, "b", 2)]), path, **options)
+    changes = frame(spark, [(1, "b", 10)])
+    step = iter(range(100))
+
+    def stopping(function, after):
+        """`function` that dies at a step, before or after its work."""
+
+        def run(*args, **kwargs):
+            if not after and next(step) == stop:
+                raise Killed
+            function(*args, **kwargs)
+            if after and next(step) == stop:
+                raise Killed
+
+        return run
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_stage", stopping(tables._stage, False))
+        patch.setattr(tables, "_write", stopping(stopping(tables._write, False), True))
+        patch.setattr(tables, "drop_path", stopping(tables.drop_path, False))
+        with pytest.raises(Killed):
+            upsert(changes, path, ["k"], partition_columns=["p"])
+    staged = path_exists(spark, f"{tables._staging(spark, path)}/intent/_SUCCESS")
+    assert staged == (stop > 0) and tables.recover(spark, path) == staged
+    # Before the record is complete the table is as it was; after that the change is made.
+    expected = [(1, "b", 10), (2, "b", 2)] if staged else [(1, "a", 1), (2, "b", 2)]
+    assert rows(spark, path) == expected
+    assert not tables.recover(spark, path)
+    upsert(frame(spark, [(3, "a", 3)]), path, ["k"], partition_columns=["p"])
+    assert rows(spark, path) == sorted([*expected, (3, "a", 3)], key=str)
+
+
+def test_a_broken_off_write_is_completed_by_the_next_one(spark, root, monkeypatch):
+    path = f"{root}/t"
+    options = {"partition_columns": ["p"], "key": ["k"]}
+
+    def broken_upsert():
+        def die(*_):
+            raise Killed
+
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, "_write", die)
+            with pytest.raises(Killed):
+                upsert(frame(spark, [(1, "a", 10)]), path, ["k"], partition_columns=["p"])
+
+    # The very first write may break off too.
+    broken_upsert()
+    write_table(frame(spark, [(5, "c", 5)]), path, mode="append", **options)
+    assert rows(spark, path) == [(1, "a", 10), (5, "c", 5)]
+    broken_upsert()
+    write_table(frame(spark, [(6, "c", 6)]), path, **options)
+    assert rows(spark, path) == [(1, "a", 10), (6, "c", 6)]
+    broken_upsert()
+    write_table(frame(spark, [(7, "d", 7)]), path, whole=True, **options)
+    assert rows(spark, path) == [(7, "d", 7)]
+    assert not tables.recover(spark, path)
+
+
 # The whole silver job
 
 ITEMS = Dataset(
