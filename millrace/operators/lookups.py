@@ -16,21 +16,30 @@ BROADCAST_KEYS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 
-def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of `df` whose `on` columns occur in `keys`; starts a job for the key set.
+def key_set(keys: DataFrame, on: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
+    """`keys` written down, one row per `on` and `more`, marked for broadcast if it is small.
 
-    The distinct keys are written down first. A small set then filters `df`
-    without moving its rows. A larger one is joined by shuffle, where AQE
-    splits a frequent key of `df`: it can, as the other side is a plain scan.
+    Starts a job for the keys and one for their number and size.
     """
-    spark = df.sparkSession
+    spark = keys.sparkSession
     path = scratch_path(spark, "keys")
-    keys.select(*[ref(c) for c in on]).distinct().write.parquet(path)
+    columns = [ref(c) for c in (*on, *more)]
+    keys.select(*columns).distinct().write.parquet(path)
     written = spark.read.parquet(path)
-    text = F.concat_ws("", *[ref(c).cast("string") for c in on])
+    text = F.concat_ws("", *[c.cast("string") for c in columns])
     size = written.agg(
         F.count(F.lit(1)).alias("keys"), F.sum(F.octet_length(text)).alias("bytes")
     ).first()
     if size["keys"] <= BROADCAST_KEYS and (size["bytes"] or 0) <= BROADCAST_BYTES:
         written = F.broadcast(written)
-    return df.join(written, list(on), "left_semi")
+    return written
+
+
+def rows_with_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of `df` whose `on` columns occur in `keys`; starts jobs for the key set.
+
+    The distinct keys are written down first. A small set then filters `df`
+    without moving its rows. A larger one is joined by shuffle, where AQE
+    splits a frequent key of `df`: it can, as the other side is a plain scan.
+    """
+    return df.join(key_set(keys, on), list(on), "left_semi")

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from millrace.contracts import Dataset, ForeignKey
 from millrace.errors import ContractError
 from millrace.functions.columns import ref, unused
-from millrace.operators.lookups import rows_with_keys
+from millrace.operators.lookups import key_set, rows_with_keys
+
+# What the rows that lack a parent have more than others: the references that do.
+MISSING_PARENTS = "missing_parents"
 
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,6 +53,30 @@ def orphan_rows(child: DataFrame, parent: DataFrame, link: ForeignKey) -> DataFr
     return rows_with_keys(child, orphan_keys(child, parent, link), link.columns)
 
 
+def split_orphans(
+    child: DataFrame, contract: Dataset, parents: Mapping[str, DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of `child` whose references all have their parents, and the others with what they miss.
+
+    The others have one more column, `missing_parents`: the references, as in
+    the report, that are not in their parent table. `child` is read several
+    times, so pass a written table. Its rows move only beside more orphan keys than fit a
+    broadcast.
+    """
+    flags = []
+    marked = child
+    for i, link in enumerate(contract.foreign_keys):
+        keys = orphan_keys(child, parents[link.parent], link)
+        flag = unused(f"_orphan{i}", marked.columns)
+        known = key_set(keys, link.columns).withColumn(flag, F.lit(",".join(link.columns)))
+        marked = marked.join(known, list(link.columns), "left")
+        flags.append(F.col(flag))
+    missing = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    marked = marked.select(*[ref(c) for c in child.columns], missing.alias(MISSING_PARENTS))
+    complete = F.size(MISSING_PARENTS) == 0
+    return marked.where(complete).drop(MISSING_PARENTS), marked.where(~complete)
+
+
 def reference_report(
     child: DataFrame, contract: Dataset, parents: Mapping[str, DataFrame]
 ) -> DataFrame:

@@ -154,6 +154,12 @@ ORACLES: dict[str, str] = {
     "landed_inch_marks": "select * replace (p_name || ' ' || p_size || '\" wide' as p_name) from part",
     "landed_multiline": "select doc_id, 'say \"\"' || lang || '\"' || chr(10) || text "
     "|| chr(13) || chr(10) as text, lang, source, n_chars from documents",
+    "incremental_unique": "select *, ts::date as load_date, event_type = 'error' and ts < "
+    "(select max(ts) from events where event_type <> 'error') - interval 1 day as late from events",
+    "incremental_gate_with_references": f"select {_ORDERS} from orders",
+    "incremental_orphans": "select o_orderkey, case when exists (select 1 from customer "
+    "where c_custkey = o_custkey and (c_acctbal >= 0 or c_mktsegment = 'BUILDING')) "
+    "then 'published' else 'waiting' end as state from orders",
     "table_profile": _profiles(),
     "enforce_schema": "select l_orderkey::integer as l_orderkey, l_linenumber, "
     "trunc(l_quantity)::integer as l_quantity, "

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import UTC, date, datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -695,6 +696,73 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(contract.silver_path)
 
 
+@query
+def incremental_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed once each by two runs, the second of which brings those of the first again.
+
+    What only the second brings is late where it is a day older than what the first has.
+    """
+    root = scratch_path(spark, "unique")
+    events = table(spark, sf_dir, "events")
+    for number, part in enumerate((events.where("event_type <> 'error'"), events)):
+        part.write.parquet(f"{root}/source/{number}")
+        stream = incremental.read_new_files(spark, f"{root}/source/*", fx.EVENTS.schema)
+        incremental.land_unique_new_files(
+            stream, f"{root}/bronze", f"{root}/checkpoint", ["event_id"], "ts", spread=4
+        )
+    both = incremental.landed(spark, f"{root}/bronze", late=None)
+    return both.select(*fx.EVENTS.schema.names, "load_date", "late")
+
+
+def _order_stream(spark: SparkSession, orders: DataFrame, path: str) -> DataFrame:
+    orders.write.parquet(path)
+    return incremental.read_new_files(spark, path, orders.schema)
+
+
+@query
+def incremental_gate_with_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published by a stream; a second one with orphans stops before it publishes any."""
+    root = scratch_path(spark, "stream-references")
+    contract = replace(fx.ORDERS, silver_path=f"{root}/silver", write_mode="merge")
+    orders = table(spark, sf_dir, "orders")
+    parents = {"customer": table(spark, sf_dir, "customer")}
+    broken = F.when(F.col("o_orderstatus") == "P", -F.col("o_custkey") - 1)
+    broken = orders.withColumn("o_custkey", broken.otherwise(F.col("o_custkey")))
+    for number, part in enumerate((orders, broken)):
+        stream = _order_stream(spark, part, f"{root}/source-{number}")
+        try:
+            incremental.merge_new_files(
+                stream, contract, f"{root}/checkpoint-{number}", parents=parents
+            )
+        except StreamingQueryException:
+            pass
+    return spark.read.schema(orders.schema).parquet(contract.silver_path)
+
+
+@query
+def incremental_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by whether they are published: some wait for customers of which a part comes later."""
+    root = scratch_path(spark, "stream-orphans")
+    contract = replace(
+        fx.ORDERS, silver_path=f"{root}/silver", write_mode="merge", version=("o_orderdate",)
+    )
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    solvent = {"customer": customers.where("c_acctbal >= 0")}
+    stream = _order_stream(spark, orders, f"{root}/source")
+    aside = f"{root}/orphans"
+    incremental.merge_new_files(
+        stream, contract, f"{root}/checkpoint", parents=solvent, orphans_path=aside
+    )
+    more = {"customer": customers.where("c_acctbal >= 0 or c_mktsegment = 'BUILDING'")}
+    incremental.release_orphans(spark, contract, aside, more)
+    states = {"published": contract.silver_path, "waiting": aside}
+    parts = [
+        spark.read.parquet(path).select("o_orderkey", F.lit(state).alias("state"))
+        for state, path in states.items()
+    ]
+    return parts[0].union(parts[1])
+
+
 @query
 def upsert_moved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by status after all orders of one status have moved to another one."""

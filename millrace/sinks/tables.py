@@ -137,7 +137,7 @@ def upsert(
     spark = changes.sparkSession
     parts = list(partition_columns)
     recover(spark, path)
-    found = _schema(spark, path, write_format)
+    found = stored_schema(spark, path, write_format)
     if found is None:
         replace_table(changes, path, write_format, compression, parts)
         return
@@ -160,7 +160,9 @@ def upsert(
     _publish_staged(spark, path)
 
 
-def _schema(spark: SparkSession, path: str, write_format: str) -> T.StructType | None:
+def stored_schema(
+    spark: SparkSession, path: str, write_format: str = "parquet"
+) -> T.StructType | None:
     """The columns of the table at `path`, if there is one."""
     try:
         return spark.read.format(write_format).load(path).schema
