@@ -60,6 +60,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.letters: dict[str, bool] = {}
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -75,7 +76,7 @@ class WordIds:
         return [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
 
     def _learn(self, missing: list[str]) -> None:
-        split = {w: _split(w) for w in missing}
+        split = {w: self._split(w) for w in missing}
         new = list({p for parts in split.values() for p in parts}.difference(self.parts))
         for at in range(0, len(new), TOGETHER):
             block = new[at : at + TOGETHER]
@@ -116,14 +117,26 @@ class WordIds:
             out.append(np.concatenate([own, tail]))
         return out
 
-
-def _split(word: str) -> tuple[str, ...]:
-    stem = word.rstrip(PUNCTUATION)
-    if not stem or "<|" in word or not stem[-1].lower()[-1].isalpha():
-        return (word,)
-    ending = word[len(stem) :]
-    stem = stem.lower() if stem.isascii() else stem
-    return (stem, ending) if ending else (stem,)
+    def _split(self, word: str) -> tuple[str, ...]:
+        """The stem and the ending of a word, or the word alone where they are not sure to be parted."""
+        stem = word.rstrip(PUNCTUATION)
+        if not stem or "<|" in word or not self._ends_a_token(stem[-1]):
+            return (word,)
+        ending = word[len(stem) :]
+        stem = stem.lower() if stem.isascii() else stem
+        return (stem, ending) if ending else (stem,)
+
+    def _ends_a_token(self, letter: str) -> bool:
+        """Whether the vocabulary's rules part punctuation from this character before it.
+
+        They are asked: some letters they take apart into a letter and a mark,
+        which goes with the punctuation, and not all know the same letters.
+        """
+        if letter not in self.letters:
+            text = self.tokenizer.normalizer.normalize_str(f"{letter}!")
+            parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+            self.letters[letter] = letter.isalpha() and [p for p, _ in parts[1:]] == ["!"]
+        return self.letters[letter]
 
 
 @lru_cache(maxsize=2)
