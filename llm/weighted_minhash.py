@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,9 +37,11 @@ KEPT = 1 << 16
 # Documents per range of ids, and ranges at most.
 RANGE_ROWS = 256
 MOST_RANGES = 4096
-# Terms whose races run at once, and whose random numbers are derived at once.
-BLOCK = 4096
-DERIVED = 512
+# Terms of a long text whose races run at once, and whose random numbers are derived at once.
+BLOCK = 1 << 15
+DERIVED = 128
+# Characters of the texts whose words are looked up at once.
+TOGETHER = 1 << 18
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -60,6 +62,32 @@ def _gamma(halves: np.ndarray) -> np.ndarray:
     return -np.log(uniform[:, ::2] * uniform[:, 1::2])
 
 
+class Kept:
+    """Rows of numbers per term, derived where they are not kept; the last `size` terms are kept."""
+
+    def __init__(self, size: int, width: int):
+        self.size, self.next = size, 0
+        self.slots: dict[int, int] = {}
+        self.owner: list[int | None] = [None] * size
+        self.table = np.empty((size, width), np.float32)
+
+    def rows(self, terms: np.ndarray, derive: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        get, names = self.slots.get, terms.tolist()
+        places = np.array([get(t, -1) for t in names], np.int64)
+        found = self.table[places] if self.size else np.empty((len(terms), self.table.shape[1]), np.float32)
+        new = np.flatnonzero(places < 0)
+        for at in range(0, len(new), DERIVED):
+            found[new[at : at + DERIVED]] = derive(terms[new[at : at + DERIVED]])
+        stay = new[max(0, len(new) - self.size) :]
+        slots = (self.next + np.arange(len(stay))) % max(1, self.size)
+        self.next += len(stay)
+        self.table[slots] = found[stay]
+        for slot, at in zip(slots.tolist(), stay.tolist(), strict=True):
+            self.slots.pop(self.owner[slot], None)
+            self.owner[slot], self.slots[names[at]] = names[at], slot
+        return found
+
+
 class Races:
     """Random numbers of every term and sample: r and c from Gamma(2, 1), b uniform.
 
@@ -68,88 +96,118 @@ class Races:
     """
 
     def __init__(self, samples: int, seed: int, kept: int = KEPT):
-        self.samples, self.kept = samples, kept
+        self.samples = samples
         # Two numbers of 64 bits per term and sample.
         steps = np.arange(1, 2 * samples + 1, dtype=np.uint64) + (np.uint64(seed) << np.uint64(32))
         self.steps = _scrambled(steps).reshape(2, samples)
-        self.slots: dict[int, int] = {}
-        self.owner, self.busy, self.next = [None] * kept, np.zeros(kept, bool), 0
-        self.table = [np.empty((kept, samples), np.float32) for _ in range(4)]
-
-    def derived(self, terms: np.ndarray) -> tuple[np.ndarray, ...]:
-        """r, log c, b and the race of weight 1 (whose logarithm is 0): a row per term."""
-        out = tuple(np.empty((len(terms), self.samples), np.float32) for _ in range(4))
-        for at in range(0, len(terms), DERIVED):
-            rows = slice(at, at + DERIVED)
-            x, y = (_scrambled(terms[rows, None] + steps).view(np.uint32) for steps in self.steps)
-            # b is made of the bits that r leaves over.
-            low = x & np.uint32(511)
-            b = (low[:, ::2] << np.uint32(9) | low[:, 1::2]).view(np.int32).astype(np.float32)
-            b *= np.float32(1 / (1 << 18))
-            r, log_c = _gamma(x), np.log(_gamma(y))
-            for held, new in zip(out, (r, log_c, b, log_c - r * (1 - b)), strict=True):
-                held[rows] = new
-        return out
-
-    def _places(self, terms: np.ndarray) -> np.ndarray:
-        """Rows of the table; -1 for terms that do not fit. New terms replace the oldest ones not asked for."""
-        get = self.slots.get
-        places = np.array([get(t, -1) for t in terms.tolist()], np.int64)
-        new, old = np.flatnonzero(places < 0), places[places >= 0]
-        if not len(new) or not self.kept:
-            return places
-        self.busy[old] = True
-        ring = (self.next + np.arange(min(self.kept, len(new) + len(old)))) % self.kept
-        free = ring[~self.busy[ring]][: len(new)]
-        self.busy[old] = False
-        if len(free):
-            self.next = int(free[-1]) + 1
-        for at in range(0, len(free), BLOCK):
-            rows, some = free[at : at + BLOCK], new[at : at + BLOCK][: len(free) - at]
-            places[some] = rows
-            for held, numbers in zip(self.table, self.derived(terms[some]), strict=True):
-                held[rows] = numbers
-            for row, term in zip(rows.tolist(), terms[some].tolist(), strict=True):
-                self.slots.pop(self.owner[row], None)
-                self.owner[row], self.slots[term] = term, row
-        return places
-
-    def signature(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One 16-bit value per sample; `terms` are distinct hashes (uint64) in ascending order."""
+        self.columns = np.arange(samples)
+        # Most words occur once in a text: their races need one number a sample, the others' three.
+        self.once, self.often = Kept(kept, samples), Kept(kept // 4, 3 * samples)
+
+    def derived(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """r, log c and b: a row per term."""
+        x, y = (_scrambled(terms[:, None] + steps).view(np.uint32) for steps in self.steps)
+        # b is made of the bits that r leaves over.
+        low = x & np.uint32(511)
+        b = (low[:, ::2] << np.uint32(9) | low[:, 1::2]).view(np.int32).astype(np.float32)
+        b *= np.float32(1 / (1 << 18))
+        return _gamma(x), np.log(_gamma(y)), b
+
+    def _once(self, terms: np.ndarray) -> np.ndarray:
+        """The race of weight 1, whose logarithm is 0."""
+        r, log_c, b = self.derived(terms)
+        return log_c - r * (1 - b)
+
+    def _often(self, terms: np.ndarray) -> np.ndarray:
+        return np.concatenate(self.derived(terms), axis=1)
+
+    def signatures(self, texts: list[str]) -> list[bytes | None]:
+        """The signature's bytes of each text; None for one without words."""
+        found, group, size = [], [], 0
+        for text in texts:
+            if group and size + len(text) > TOGETHER:
+                found += self._group(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        return found + (self._group(group) if group else [])
+
+    def _group(self, texts: list[str]) -> list[bytes | None]:
+        lists = pc.ascii_split_whitespace(pa.array(map(utf8, texts), pa.binary()).cast(pa.string()))
+        words = lists.flatten()
+        owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        there = pc.greater(pc.binary_length(words), 0)
+        owner, coded = owner[there.to_numpy(zero_copy_only=False)], words.filter(there).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        terms = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+        # In the order of their hashes, so that the first of equal races is the one that wins.
+        order = np.argsort(terms)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        terms = terms[order]
+        pairs, weights = np.unique(
+            owner * max(1, len(terms)) + rank[coded.indices.to_numpy()], return_counts=True
+        )
+        text, term = np.divmod(pairs, max(1, len(terms)))
+        edges = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+        if len(terms) > BLOCK and len(texts) == 1:
+            return [self.signature(terms, weights)]
+        once = self.once.rows(terms, self._once)
+        heavy = np.unique(term[weights > 1])
+        often = self.often.rows(terms[heavy], self._often)
+        found = []
+        for start, end in zip(edges, edges[1:], strict=False):
+            own, counts = term[start:end], weights[start:end]
+            light, more = own[counts == 1], own[counts > 1]
+            state = self._start()
+            if len(light):
+                state = self._better(state, once[light], None, terms[light])
+            if len(more):
+                rows = often[np.searchsorted(heavy, more)]
+                state = self._better(state, *self._raced(rows, counts[counts > 1]), terms[more])
+            found.append(self._value(state) if len(own) else None)
+        return found
+
+    def signature(self, terms: np.ndarray, weights: np.ndarray) -> bytes:
+        """The signature of any number of terms: distinct hashes (uint64) in ascending order."""
+        state = self._start()
+        for at in range(0, len(terms), BLOCK):
+            some, counts = terms[at : at + BLOCK], weights[at : at + BLOCK]
+            light, more = some[counts == 1], some[counts > 1]
+            if len(light):
+                state = self._better(state, self.once.rows(light, self._once), None, light)
+            if len(more):
+                rows = self.often.rows(more, self._often)
+                state = self._better(state, *self._raced(rows, counts[counts > 1]), more)
+        return self._value(state)
+
+    def _start(self) -> tuple:
         best = np.full(self.samples, np.inf, np.float32)
-        who, levels = np.zeros((2, self.samples), np.uint64)
-        places = self._places(terms)
-        for heavy, kept in ((False, True), (False, False), (True, True), (True, False)):
-            chosen = np.flatnonzero(((weights > 1) == heavy) & ((places >= 0) == kept))
-            for at in range(0, len(chosen), BLOCK):
-                block = chosen[at : at + BLOCK]
-                if heavy:
-                    rows = [t[places[block]] for t in self.table[:3]] if kept else self.derived(terms[block])
-                    r, log_c, b = rows[:3]
-                    log_w = np.log(weights[block]).astype(np.float32)
-                    level = np.floor(log_w[:, None] / r + b)
-                    race = log_c - r * (level - b + 1)
-                else:
-                    level = None
-                    race = self.table[3][places[block]] if kept else self.derived(terms[block])[3]
-                first = race.argmin(axis=0)
-                place = (first, np.arange(self.samples))
-                found, name = race[place], terms[block][first]
-                won = (found < best) | ((found == best) & (name < who))
-                best, who = np.where(won, found, best), np.where(won, name, who)
-                levels = np.where(won, level[place].astype(np.uint64) if heavy else np.uint64(0), levels)
+        return best, np.zeros(self.samples, np.uint64), np.zeros(self.samples, np.uint64)
+
+    def _raced(self, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Races and levels of terms with their weights; `rows` holds r, log c and b."""
+        r, log_c, b = (rows[:, i * self.samples : (i + 1) * self.samples] for i in range(3))
+        level = np.floor(np.log(weights).astype(np.float32)[:, None] / r + b)
+        return log_c - r * (level - b + 1), level
+
+    def _better(self, state: tuple, race: np.ndarray, level: np.ndarray | None, terms: np.ndarray) -> tuple:
+        """The winners so far after further terms, in ascending order of their hashes, have raced."""
+        best, who, levels = state
+        first = race.argmin(axis=0)
+        found, name = race[first, self.columns], terms[first]
+        won = (found < best) | ((found == best) & (name < who))
+        reached = np.uint64(0) if level is None else level[first, self.columns].astype(np.uint64)
+        return np.where(won, found, best), np.where(won, name, who), np.where(won, reached, levels)
+
+    def _value(self, state: tuple) -> bytes:
+        """One 16-bit value per sample."""
+        _, who, levels = state
         value = who * np.uint64(1_000_003) + levels * np.uint64(8_191) + np.uint64(1)
-        return (value * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(">u2")
+        return (value * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(">u2").tobytes()
 
     def of_text(self, text: str) -> bytes | None:
-        """The signature's bytes; None for a text without words."""
-        counts = Counter(utf8(text).split())
-        if not counts:
-            return None
-        terms = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
-        weights = np.fromiter(counts.values(), np.int64, len(counts))
-        order = np.argsort(terms)
-        return self.signature(terms[order], weights[order]).tobytes()
+        return self.signatures([text])[0]
 
 
 @lru_cache(maxsize=1)
@@ -232,27 +290,39 @@ def fingerprinted(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         race = races(samples, SEED)
-        waiting, out = None, []
-
-        def close(following: tuple) -> None:
-            doc_id, text, sketch = waiting
-            changed = edited(text, following[1])
-            other = race.of_text(changed)
-            near = likeness(sketch, other), likeness(sketch, following[2])
-            digest = hashlib.sha256(utf8(changed)).hexdigest()
-            prints = [x.hex() if x else empty for x in (sketch, other)]
-            out.append((doc_id, len(text), digest, *prints, *near))
-
-        part = None
+        # The row whose next one is still to come: its part, id, text and signature.
+        waiting = None
         for batch in slices(batches):
-            for row in batch.to_pylist():
-                text = row["text"] or ""
-                current = (row["doc_id"], text, race.of_text(text))
-                if waiting is not None and row["part"] == part:
-                    close(current)
-                waiting, part = (None if row["ahead"] else current), row["part"]
+            rows = [(r["part"], r["ahead"], r["doc_id"], r["text"] or "") for r in batch.to_pylist()]
+            before = [waiting and (waiting[0], False, *waiting[1:3]), *rows[:-1]]
+            # Each row that has its next one here, and its edited text.
+            closed = [
+                (b, c) for b, c in zip(before, rows, strict=True) if b and not b[1] and b[0] == c[0]
+            ]
+            changed = [edited(b[3], c[3]) for b, c in closed]
+            # Texts and edited texts side by side, as they share their words.
+            after = iter(changed)
+            mixed, places = [], []
+            for b, c in zip(before, rows, strict=True):
+                if b and not b[1] and b[0] == c[0]:
+                    mixed.append(next(after))
+                places.append(len(mixed))
+                mixed.append(c[3])
+            found = race.signatures(mixed)
+            own = [waiting[3] if waiting else None, *[found[p] for p in places]]
+            out, number = [], 0
+            for i, (b, c) in enumerate(zip(before, rows, strict=True)):
+                if b and not b[1] and b[0] == c[0]:
+                    other = found[places[i] - 1]
+                    near = likeness(own[i], other), likeness(own[i], own[i + 1])
+                    digest = hashlib.sha256(utf8(changed[number])).hexdigest()
+                    prints = [x.hex() if x else empty for x in (own[i], other)]
+                    out.append((b[2], len(b[3]), digest, *prints, *near))
+                    number += 1
+            if rows:
+                part, ahead, doc_id, text = rows[-1]
+                waiting = None if ahead else (part, doc_id, text, own[-1])
             yield _batch(out, schema)
-            out = []
 
     ordered = in_order(docs.select(F.col("doc_id").cast("long"), "text"))
     return ordered.mapInArrow(run, schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -477,3 +478,44 @@ def test_pipeline_stages(spark, odd, empty):
     assert unique.join(groups.where("doc_id = component_id"), "doc_id", "left_anti").count() == 0
     packed = corpus_pipeline.run(spark, SF)
     assert packed.count() > 0
+
+
+def test_op3_ids_of_all_characters():
+    """Every character before and behind punctuation, as the library's rules take it apart."""
+    path = public_tokenizers.path(tier_packing.VOCABULARY)
+    own, library = tier_packing.word_ids(path), Tokenizer.from_file(path)
+    changing = [c for c in map(chr, range(0x110000)) if c.lower() != c or not c.isascii() and c.isalpha()]
+    changing = [c for c in changing if unicodedata.normalize("NFC", c.lower()) != c]
+    assert {"क़", "ड़", "ড়", "য়", "İ"} <= set(changing)
+    rng = np.random.default_rng(12)
+    some = [chr(c) for c in rng.integers(0, 0x110000, 4000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{c}!b {c}. x{c}{c}?{c}'s {c}" for c in [*changing, *some]]
+    pool = [*changing[:400], *some[:400], *"ab.,!'s \t़́​"]
+    texts += ["".join(rng.choice(pool, rng.integers(0, 25))) for _ in range(4000)]
+    expected = library.encode_batch(texts, add_special_tokens=False)
+    for text, ids, found in zip(texts, own(texts), expected, strict=True):
+        assert ids.tolist() == [*found.ids, tier_packing.END], ascii(text)
+
+
+def test_op9_texts_together_equal_texts_alone(monkeypatch):
+    """Which texts are looked up at once, and what is kept, changes no signature."""
+    rng = np.random.default_rng(13)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 300))) for _ in range(60)]
+    texts += ["", " \x0b\t ", "a a a b", "\x1c one\x85two ", texts[0] * 3]
+    whole = weighted_minhash.Races(64, 1).signatures(texts)
+    assert [whole[i] is None for i in (-5, -4, -3)] == [True, True, False]
+    short = weighted_minhash.Races(64, 1, 50)
+    assert [short.of_text(t) for t in texts] == whole
+    monkeypatch.setattr(weighted_minhash, "TOGETHER", 500)
+    monkeypatch.setattr(weighted_minhash, "BLOCK", 40)
+    assert weighted_minhash.Races(64, 1).signatures(texts) == whole
+
+
+def test_op9_neighbours_across_batches(spark, monkeypatch):
+    """Rows of a part that arrive in several batches have the same neighbours as in one."""
+    docs = spark.createDataFrame([(i, f"t{i} common words " * (i % 4)) for i in range(90)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in weighted_minhash.fingerprinted(docs).collect()}
+    monkeypatch.setattr(weighted_minhash, "slices", lambda batches: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    again = {r.doc_id: r for r in weighted_minhash.fingerprinted(docs).collect()}
+    assert len(rows) == 90 and rows == again
