@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.contracts import Dataset
-from millrace.operators.quality import QualityReport, gate
+from millrace.operators.quality import QualityReport, gate, observed
 from millrace.operators.schema import enforce_schema
 from millrace.plans.transform import HOOKS, Hook, transform
 from millrace.session import drop_path, scratch_path
@@ -38,12 +38,16 @@ def gated(
 ) -> tuple[DataFrame, QualityReport]:
     """`df` written to `path` and read back, once it has passed the gate; raise if not.
 
-    Rows are computed once. The gate reads only the checked columns of what
-    was written.
+    Rows are computed once. Where keys are unique by construction the writing
+    tasks count what the gate needs to know; else it reads the checked columns
+    of what was written.
     """
-    clustered(df, contract.partition_columns).write.parquet(path)
+    rows, facts = clustered(df, contract.partition_columns), None
+    if keys_are_unique:
+        rows, facts = observed(rows, contract)
+    rows.write.parquet(path)
     written = df.sparkSession.read.parquet(path)
-    return written, gate(written, contract, keys_are_unique, parents)
+    return written, gate(written, contract, keys_are_unique, parents, facts and facts())
 
 
 def conform_and_publish(

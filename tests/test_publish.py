@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 
 from millrace.contracts import Dataset, struct
 from millrace.errors import ContractError, QualityError
+from millrace.operators import quality
 from millrace.plans.silver import conform, run_silver
 from millrace.session import drop_path, path_exists
 from millrace.sinks import tables
 from millrace.sinks.tables import replace_table, upsert, write_table
+from millrace.sources.readers import read_bronze
 
 COLUMNS = "k int, p string, v int"
 
@@ -295,6 +297,24 @@ def test_silver_job_keeps_the_newest_load(spark, root):
     assert silver(spark, root)[0] == (1, "apple", 1.5, "a")
 
 
+def test_the_writing_job_counts_for_the_gate(spark, root, monkeypatch):
+    """With unique keys nothing is read again, and the report is the same as by reading."""
+    bronze(root, "2026-01-30", "1,a,1,x,\n2,,2,,\n2,b,2,,\n,c,3,,\n,d,3,,\n")
+    contract = items(root, required=("name", "price"))
+    rows = conform(read_bronze(spark, contract), contract)
+    by_reading = quality.evaluate(rows, contract)
+    with monkeypatch.context() as patch:
+        patch.setattr(quality, "table_facts", None)
+        with pytest.raises(QualityError) as raised:
+            run_silver(spark, contract)
+        assert raised.value.report == by_reading
+        assert by_reading.null_counts == {"name": 1, "price": 0, "id": 1}
+        # A table without rows has counts too.
+        empty = items(f"{root}/empty", partition_columns=("kind",))
+        bronze(f"{root}/empty", "2026-01-30", "")
+        assert run_silver(spark, empty).total_records == 0
+
+
 def test_silver_job_publishes_nothing_that_fails(spark, root):
     bronze(root, "2026-01-01", "1,apple,1,a,x\n")
     contract = items(root)
