@@ -37,6 +37,8 @@ KEPT = 1 << 16
 # Documents per range of ids, and ranges at most.
 RANGE_ROWS = 256
 MOST_RANGES = 4096
+# Texts looked up at once that have a term, for it to be kept; a text and its edited text are two.
+WORTH_KEEPING = 4
 # Terms of a long text whose races run at once, and whose random numbers are derived at once.
 BLOCK = 1 << 15
 DERIVED = 128
@@ -63,7 +65,10 @@ def _gamma(halves: np.ndarray) -> np.ndarray:
 
 
 class Kept:
-    """Rows of numbers per term, derived where they are not kept; the last `size` terms are kept."""
+    """Rows of numbers per term, derived where they are not kept.
+
+    The last `size` terms that are worth keeping are kept.
+    """
 
     def __init__(self, size: int, width: int):
         self.size, self.next = size, 0
@@ -71,14 +76,17 @@ class Kept:
         self.owner: list[int | None] = [None] * size
         self.table = np.empty((size, width), np.float32)
 
-    def rows(self, terms: np.ndarray, derive: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    def rows(
+        self, terms: np.ndarray, derive: Callable[[np.ndarray], np.ndarray], worth: np.ndarray
+    ) -> np.ndarray:
         get, names = self.slots.get, terms.tolist()
         places = np.array([get(t, -1) for t in names], np.int64)
         found = self.table[places] if self.size else np.empty((len(terms), self.table.shape[1]), np.float32)
         new = np.flatnonzero(places < 0)
         for at in range(0, len(new), DERIVED):
             found[new[at : at + DERIVED]] = derive(terms[new[at : at + DERIVED]])
-        stay = new[max(0, len(new) - self.size) :]
+        stay = new[worth[new]]
+        stay = stay[max(0, len(stay) - self.size) :]
         slots = (self.next + np.arange(len(stay))) % max(1, self.size)
         self.next += len(stay)
         self.table[slots] = found[stay]
@@ -152,9 +160,10 @@ class Races:
         edges = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
         if len(terms) > BLOCK and len(texts) == 1:
             return [self.signature(terms, weights)]
-        once = self.once.rows(terms, self._once)
+        worth = np.bincount(term, minlength=len(terms)) >= WORTH_KEEPING
+        once = self.once.rows(terms, self._once, worth)
         heavy = np.unique(term[weights > 1])
-        often = self.often.rows(terms[heavy], self._often)
+        often = self.often.rows(terms[heavy], self._often, worth[heavy])
         found = []
         for start, end in zip(edges, edges[1:], strict=False):
             own, counts = term[start:end], weights[start:end]
@@ -175,9 +184,10 @@ class Races:
             some, counts = terms[at : at + BLOCK], weights[at : at + BLOCK]
             light, more = some[counts == 1], some[counts > 1]
             if len(light):
-                state = self._better(state, self.once.rows(light, self._once), None, light)
+                rows = self.once.rows(light, self._once, np.zeros(len(light), bool))
+                state = self._better(state, rows, None, light)
             if len(more):
-                rows = self.often.rows(more, self._often)
+                rows = self.often.rows(more, self._often, np.ones(len(more), bool))
                 state = self._better(state, *self._raced(rows, counts[counts > 1]), more)
         return self._value(state)
 
