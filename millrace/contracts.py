@@ -26,7 +26,8 @@ class Dataset:
 
     `required` columns must not hold NULL; left at None it follows the
     schema's NOT NULL marks. `multiline` is for CSV whose quoted text contains
-    line breaks: such files cannot be split, so it is off unless asked for.
+    line breaks, which is refused unless declared. With `keep_files` the source's
+    files are landed byte for byte and under their names, not their rows anew.
     """
 
     name: str
@@ -39,6 +40,7 @@ class Dataset:
     silver_path: str = ""
     file_format: str = "csv"
     multiline: bool = False
+    keep_files: bool = False
     write_format: str = "parquet"
     write_mode: str = "overwrite"
     compression: str = "snappy"

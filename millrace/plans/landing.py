@@ -17,7 +17,8 @@ from millrace.functions.columns import ref
 from millrace.functions.digests import combined_md5
 from millrace.functions.runs import new_run_id, utc_now
 from millrace.operators.logrules import audit_rules, metadata_rules
-from millrace.session import drop_path, scratch_path
+from millrace.session import drop_path, move_path, scratch_path
+from millrace.sinks.files import copy_files
 from millrace.sinks.logs import AUDIT_SCHEMA, FAILED, METADATA_SCHEMA, SUCCESS, append_record
 from millrace.sources.csv_ranges import csv_file_facts, range_facts, read_records, record_spans
 from millrace.sources.files import with_checksums
@@ -214,6 +215,40 @@ def _copy(
     return raw.columns, rows
 
 
+def _keep(
+    spark: SparkSession, contract: Dataset, load_date: date, source: _Source, run_id: str
+) -> tuple[list[str], int]:
+    """Copy the files under their load date as they are; returns column names and row count.
+
+    All rows are parsed before that, for their number and because rows with too
+    many fields fail here too. The copies are complete beside the day's folder
+    before they take its place, and have the checksum of the inspection.
+    """
+    raw = read_raw(spark, contract, source)
+    facts = Observation(f"landing {contract.name}")
+    raw.observe(facts, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("append").save()
+    incoming = f"{contract.bronze_path}/_incoming-{run_id}"
+    day = f"{contract.bronze_path}/{LOAD_DATE}={load_date.isoformat()}"
+    try:
+        listed = list_sources(spark, {contract.name: contract.source_path})
+        copied = copy_files(listed, incoming).agg(
+            F.count(F.lit(1)).alias("files"),
+            F.count_distinct("target").alias("targets"),
+            F.sum("file_size_bytes").alias("size"),
+            combined_md5(F.when(F.col("file_size_bytes") > 0, F.col("checksum"))).alias("checksum"),
+        )
+        found = copied.first()
+        if found["files"] != found["targets"]:
+            raise LandingError(f"{contract.name}: two files would bear one name")
+        if (found["size"], found["checksum"]) != (source.size, source.checksum):
+            raise LandingError(f"{contract.name}: the source has changed while it was landed")
+        drop_path(spark, day)
+        move_path(spark, incoming, day)
+    finally:
+        drop_path(spark, incoming)
+    return raw.columns, facts.get["rows"]
+
+
 def land(
     spark: SparkSession,
     contract: Dataset,
@@ -252,7 +287,10 @@ def land(
             raise LandingError(f"{contract.name}: only CSV sources are landed")
         source = _inspect(spark, contract)
         try:
-            columns, rows = _copy(spark, contract, load_date, source)
+            if contract.keep_files:
+                columns, rows = _keep(spark, contract, load_date, source, run_id)
+            else:
+                columns, rows = _copy(spark, contract, load_date, source)
         finally:
             if source.scratch:
                 drop_path(spark, source.scratch)
@@ -288,20 +326,26 @@ def land_all(
 ) -> RunSummary:
     """Land several datasets; one that fails does not stop the others.
 
-    Up to `parallel` datasets are in work at once, so that small tables do not
-    wait for a large one. An unknown name raises before anything is landed.
+    Up to `parallel` datasets are in work at once, each in a scheduler pool of
+    its own. Where the session shares tasks fairly among pools, as one of
+    `get_session` does, small tables do not wait for the tasks of a large one;
+    without that the stages of one wait for those that came before. An unknown
+    name raises before anything is landed.
     """
     chosen = select_datasets(registry, names)
 
     def attempt(contract: Dataset) -> str | None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"landing {contract.name}")
         try:
             land(spark, contract, logs, clock)
         except Exception as exc:
             return str(exc)
         return None
 
+    # Wrapped one by one: a wrapped function's threads share their local properties.
+    targets = [inheritable_thread_target(spark)(attempt) for _ in chosen]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        messages = list(pool.map(inheritable_thread_target(spark)(attempt), chosen))
+        messages = list(pool.map(lambda run, contract: run(contract), targets, chosen))
     outcome = list(zip([c.name for c in chosen], messages, strict=True))
     return RunSummary(
         succeeded=[name for name, message in outcome if message is None],

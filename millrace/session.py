@@ -26,6 +26,8 @@ def session_settings(environ: Mapping[str, str]) -> dict[str, str]:
     """Spark settings for a session in this environment."""
     settings = {
         "spark.sql.adaptive.enabled": "true",
+        # Jobs in unlike scheduler pools share the tasks; those in one pool queue as before.
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
         # The JVM does not compile larger methods; for a wide table's casts
@@ -94,6 +96,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; what is at `target` must be gone."""
+    fs, source_path = _hadoop(spark, source)
+    target_path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(target_path.getParent())
+    if not fs.rename(source_path, target_path):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
     fs.delete(target, True)

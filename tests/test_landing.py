@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import subprocess
+import sys
 from datetime import UTC, date, datetime, timedelta
 from pathlib import Path
 
@@ -13,9 +16,17 @@ from millrace.errors import ContractError, LandingError
 from millrace.functions.digests import combined_md5
 from millrace.functions.runs import duration_seconds, new_run_id, run_id
 from millrace.operators.logrules import audit_rules, metadata_rules, violations
+from millrace.plans import landing
 from millrace.plans.landing import Logs, land, land_all, read_raw
 from millrace.plans.reports import already_loaded, duplicate_loads, run_outcomes, run_totals
-from millrace.sinks.logs import AUDIT_SCHEMA, METADATA_SCHEMA, combine_logs, read_log
+from millrace.sinks.logs import (
+    AUDIT_SCHEMA,
+    METADATA_SCHEMA,
+    append_record,
+    combine_logs,
+    pack_log,
+    read_log,
+)
 from millrace.sources.files import check_sources, file_manifest
 from millrace.sources.readers import read_bronze
 
@@ -390,3 +401,149 @@ def test_multiline_source_in_ranges(spark, lake, monkeypatch):
     Path(contract.source_path).write_text('id,name,v\n1,"a\nb",2,3\n')
     with pytest.raises(Exception, match="row has more than 3 fields"):
         land(spark, contract, lake.logs, Clock())
+
+
+def test_files_are_kept_as_received(spark, lake):
+    """Bytes, names, line ends, marks and quoting stay; the rows are the same."""
+    texts = {
+        "1.csv": b'\xef\xbb\xbfid,name,v\r\n1,"say ""hi""",2\r\n',
+        "deep/1.csv": b'id,"name",v\n2,5" pipe,3',
+        "deep/er/2 x.csv": b'id,name,v\n\n3,"a\r\nb",4\n',
+    }
+    contract = lake("kept", None, keep_files=True, multiline=True)
+    for name, content in texts.items():
+        path = Path(f"{contract.source_path}/{name}")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+    clock = Clock()
+    run = land(spark, contract, lake.logs, clock)
+    assert run.row_count == 3
+    [day] = Path(contract.bronze_path).iterdir()
+    found = {p.name: p.read_bytes() for p in day.iterdir() if p.suffix == ".csv"}
+    assert found == {n.replace("/", "__"): c for n, c in texts.items()}
+    names = {r.id: r.name for r in read_bronze(spark, contract).collect()}
+    assert names["1"] == 'say "hi"' and names["2"] == '5" pipe'
+    [row] = metadata(spark, lake)
+    assert row.file_size_bytes == sum(map(len, texts.values())) and row.column_names == "id,name,v"
+    # Landed again, the day holds what the source holds then.
+    Path(f"{contract.source_path}/deep/1.csv").unlink()
+    clock.now -= timedelta(hours=1)
+    assert land(spark, contract, lake.logs, clock).row_count == 2
+    assert sorted(p.name for p in day.glob("*.csv")) == ["1.csv", "deep__er__2 x.csv"]
+
+
+def test_a_kept_file_that_cannot_land_leaves_the_day_alone(spark, lake, monkeypatch):
+    contract = lake("kept", GOOD, keep_files=True)
+    clock = Clock()
+    land(spark, contract, lake.logs, clock)
+    [landed] = Path(contract.bronze_path).rglob("*.csv")
+    assert (landed.name, landed.read_text()) == ("kept.csv", GOOD)
+    Path(contract.source_path).write_text("id,name,v\n1,2,3,4\n")
+    clock.now -= timedelta(hours=1)
+    with pytest.raises(Exception, match="more than 3"):
+        land(spark, contract, lake.logs, clock)
+    real = landing.copy_files
+
+    def late(listed, folder):
+        Path(contract.source_path).write_text("id,name,v\n9,9,9\n")
+        return real(listed, folder)
+
+    Path(contract.source_path).write_text(GOOD)
+    with monkeypatch.context() as patch:
+        patch.setattr(landing, "copy_files", late)
+        with pytest.raises(LandingError, match="changed while it was landed"):
+            land(spark, contract, lake.logs, clock)
+    assert landed.read_text() == GOOD
+    assert [p.name for p in Path(contract.bronze_path).iterdir()] == [landed.parent.name]
+
+
+def test_files_of_one_name_are_not_mixed_up(spark, lake):
+    contract = lake("kept", None, keep_files=True)
+    Path(f"{contract.source_path}/a").mkdir(parents=True)
+    for name in ("a/b.csv", "a__b.csv"):
+        Path(f"{contract.source_path}/{name}").write_text(GOOD)
+    with pytest.raises(LandingError, match="bear one name"):
+        land(spark, contract, lake.logs, Clock())
+
+
+def test_packed_log_is_the_same_log(spark, root):
+    path = f"{root}/audit"
+    start = datetime(2026, 1, 30, 12, tzinfo=UTC)
+
+    def record(i, day=0):
+        at = start + timedelta(days=day, seconds=i)
+        return {
+            **{"run_id": f"t {i}/{day}", "dataset_name": "t", "start_time": at, "end_time": at},
+            **{"duration_seconds": 0, "status": "SUCCESS", "records_processed": i},
+            **{"file_name": "f", "error_message": None},
+        }
+
+    def log():
+        return sorted(map(tuple, read_log(spark, path, AUDIT_SCHEMA).collect()), key=str)
+
+    def files(folder):
+        return len(list(Path(folder).rglob("*.parquet")))
+
+    def pack(before):
+        return pack_log(spark, path, AUDIT_SCHEMA, F.to_date("start_time"), before)
+
+    for i, day in [(i, i % 2) for i in range(8)]:
+        append_record(spark, record(i, day), path, AUDIT_SCHEMA)
+    before = log()
+    assert len(before) == 8
+    assert pack(date(2026, 1, 31)) == 4
+    # Packed runs are in both places until the next call; each counts once.
+    assert (files(path), files(f"{path}_packed")) == (8, 1) and log() == before
+    append_record(spark, record(9, 2), path, AUDIT_SCHEMA)
+    assert pack(date(2026, 1, 31)) == 0
+    assert files(path) == 5 and len(log()) == 9
+    before = log()
+    assert pack(date(2026, 2, 28)) == 5 and pack(date(2026, 2, 28)) == 0
+    assert (files(path), files(f"{path}_packed")) == (0, 3) and log() == before
+    append_record(spark, record(10, 3), path, AUDIT_SCHEMA)
+    assert len(log()) == 10
+
+
+POOLS = """
+import sys
+from pathlib import Path
+from pyspark.sql import SparkSession
+from millrace.contracts import Dataset, struct
+from millrace.plans.landing import Logs, land_all
+from millrace.session import session_settings
+
+root, mode = sys.argv[1:]
+settings = session_settings({}) | {"spark.scheduler.mode": mode}
+builder = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", root)
+builder = builder.config("spark.eventLog.compress", "false")
+builder = builder.config("spark.sql.files.maxPartitionBytes", "64k")
+for key, value in settings.items():
+    builder = builder.config(key, value)
+spark = builder.getOrCreate()
+tables = {}
+for name, rows in (("large", 600_000), ("small", 10)):
+    Path(f"{root}/{name}.csv").write_text("id,v\\n" + "".join(f"{i},value {i}\\n" for i in range(rows)))
+    tables[name] = Dataset(name, struct(), source_path=f"{root}/{name}.csv", bronze_path=f"{root}/bronze/{name}")
+assert land_all(spark, tables, Logs(f"{root}/m", f"{root}/a"), parallel=2).succeeded == ["large", "small"]
+spark.stop()
+"""
+
+
+def test_a_small_table_does_not_wait_for_a_large_one(root):
+    """By the event log: the last task of the small table ends before that of the large one."""
+    repository = Path(__file__).resolve().parent.parent
+    command = [sys.executable, "-c", POOLS, root, "FAIR"]
+    subprocess.run(command, cwd=repository, check=True, capture_output=True, timeout=300)
+    pool_of, last = {}, {}
+    # Rolled logs or a single one, without their checksum files.
+    for log in (p for p in Path(root).rglob("*local-*") if p.is_file() and p.name[0] != "."):
+        for line in log.read_text().splitlines():
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerStageSubmitted":
+                pool = event["Properties"].get("spark.scheduler.pool")
+                pool_of[event["Stage Info"]["Stage ID"]] = pool
+            elif event["Event"] == "SparkListenerTaskEnd":
+                pool = pool_of[event["Stage ID"]]
+                last[pool] = max(last.get(pool, 0), event["Task Info"]["Finish Time"])
+    assert last["landing small"] < last["landing large"]
