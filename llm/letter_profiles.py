@@ -13,7 +13,7 @@ so what is gathered is a vector per task and language.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -144,12 +144,18 @@ def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     return {lang: v for lang, v in found.items() if v.any()}
 
 
-def with_language(docs: DataFrame, learned: dict[str, np.ndarray], columns: tuple[str, str]) -> DataFrame:
+def effective(counts: np.ndarray) -> float:
+    """How many trigrams a text has if repeats say little: the square of all over the sum of squares."""
+    return float(counts.sum()) ** 2 / max(1.0, float((counts.astype(float) ** 2).sum()))
+
+
+def with_language(docs: DataFrame, learned: dict[str, np.ndarray], columns: Sequence[str]) -> DataFrame:
     """`docs` with the predicted language and its score, 0 to 1, in two new columns.
 
     The score is the cosine with the prediction's prototype (0 if negative). Of
     equal cosines the least language wins. A NULL text, a text without letters,
-    and any text if nothing was learned, is `und` with score 0.
+    and any text if nothing was learned, is `und` with score 0. A third column,
+    if named, has the text's effective number of trigrams, 0 without letters.
     """
     names = sorted(learned)
     matrix = np.array([learned[n] / np.linalg.norm(learned[n]) for n in names], np.float32)
@@ -169,9 +175,11 @@ def with_language(docs: DataFrame, learned: dict[str, np.ndarray], columns: tupl
                 for i, row in zip(rows, cosines, strict=True):
                     best = int(row.argmax())
                     langs[i], scores[i] = names[best], float(min(1.0, max(0.0, row[best])))
-            return langs, scores
+            sizes = [effective(n) for _, n in found] if names else [0.0] * len(texts)
+            return (langs, scores, sizes)[: len(columns)]
 
         return function
 
-    fields = [T.StructField(columns[0], T.StringType()), T.StructField(columns[1], T.DoubleType())]
+    kinds = [T.StringType(), T.DoubleType(), T.DoubleType()]
+    fields = [T.StructField(c, k) for c, k in zip(columns, kinds, strict=False)]
     return append_columns(docs, ["text"], fields, factory)

@@ -519,3 +519,56 @@ def test_op9_neighbours_across_batches(spark, monkeypatch):
     monkeypatch.setattr(weighted_minhash, "slices", lambda batches: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
     again = {r.doc_id: r for r in weighted_minhash.fingerprinted(docs).collect()}
     assert len(rows) == 90 and rows == again
+
+
+def test_language_stage_at_every_length(spark):
+    """A text in no known language goes, a paragraph as well as a page; short known ones stay."""
+    known = {
+        "en": "the river runs under the old bridge and the children of the town play there every morning",
+        "de": "der fluss fliesst unter der alten brücke und die kinder der stadt spielen dort jeden morgen",
+    }
+    rng = np.random.default_rng(14)
+    rows = []
+    for lang, text in known.items():
+        for i in range(120):
+            rows.append((len(rows), " ".join(rng.permutation(text.split())[: 1 + i % 15]), lang))
+    chinese = "中文的句子没有任何共同之处这是一个测试文本用来检查语言识别的效果如何我们希望它被拒绝因为没有学过"
+    russian = "Это текст на русском языке, в котором нет ни одной латинской буквы, и он должен уйти"
+    aliens = [chinese, chinese * 8, "Αυτό είναι ένα κείμενο στα ελληνικά", russian]
+    rows += [(1000 + i, t, None) for i, t in enumerate([*aliens, None, "", "123 !!"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, SF).collect()}
+    assert kept == set(range(240))
+
+
+def test_op2_equals_plain_profiles(spark):
+    """Cosines of sums of bound vectors, letter by letter."""
+    texts = ["Ab, ab c!", "ünder der", "", "77", "aaaa aaaa b"]
+    learned_from = [("x", "abra cadabra ab"), ("x", "bar"), ("y", "der hund und der"), (None, "zzz")]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(learned_from)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    vectors = letter_profiles.Vectors()
+
+    def plain(text):
+        letters = "".join(c.lower() if c.isalpha() else "\0" for c in f"\0{text}\0")
+        letters = re.sub("\0+", "\0", letters)
+        total = np.zeros(letter_profiles.DIMENSIONS)
+        for trigram in zip(letters, letters[1:], letters[2:], strict=False):
+            bound = np.ones(letter_profiles.DIMENSIONS)
+            for turns, c in zip((2, 1, 0), trigram, strict=True):
+                drawn = np.random.Generator(np.random.PCG64([letter_profiles.SEED, ord(c) if c != "\0" else 0]))
+                bound *= np.roll(drawn.integers(0, 2, letter_profiles.DIMENSIONS, np.int8) * 2 - 1, turns)
+            total += bound
+        return total if letters.strip("\0") else np.zeros(letter_profiles.DIMENSIONS)
+
+    prototypes = {"x": plain("abra cadabra ab") + plain("bar"), "y": plain("der hund und der")}
+    learned = letter_profiles.prototypes(labelled)
+    assert {k: v.tolist() for k, v in learned.items()} == {k: v.tolist() for k, v in prototypes.items()}
+    assert vectors.dimensions == letter_profiles.DIMENSIONS
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in letter_profiles.with_language(df, learned, ("lang", "score", "n")).collect():
+        own = plain(row.text)
+        cosines = {k: own @ v / max(1e-9, np.linalg.norm(own)) / np.linalg.norm(v) for k, v in prototypes.items()}
+        best = max(sorted(cosines), key=cosines.get) if own.any() else "und"
+        assert row.lang == best and abs(row.score - max(0, cosines.get(best, 0))) < 1e-4
+        assert (row.n > 0) == own.any()
