@@ -14,23 +14,28 @@ from pyspark.sql import functions as F
 from llm import letter_profiles, pareto_mix, simhash_trie, tier_packing, toxicity_models
 from llm.common import Scratch, fresh, in_fold, table
 
-# A text of this many characters whose cosine with every language is lower is in none of them.
-LONG_ENOUGH = 200
-LEAST_COSINE = 0.15
+# A text of many trigrams whose cosine with every language is lower is in none of them. Of n
+# trigrams a text of a known language has about sqrt(n / (n + HALF_WAY)) of a long one's cosine,
+# and chance adds or takes about ALLOWANCE twice.
+LEAST_COSINE = 0.165
+HALF_WAY = 150
+ALLOWANCE = 0.015
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages.
 
-    Texts that are NULL or have no letters go, and longer texts that resemble
-    no language. Short texts stay: their few trigrams say little.
+    Texts that are NULL or have no letters go, and those that resemble no
+    language as much as texts of so many trigrams do. Of a few letters that
+    asks for next to nothing.
     """
     learned = letter_profiles.prototypes(docs.where(~in_fold("doc_id", 4, 2)))
-    names = fresh(docs, "lang_pred"), fresh(docs, "score")
+    names = [fresh(docs, n) for n in ("lang_pred", "score", "trigrams")]
     found = letter_profiles.with_language(docs, learned, names)
-    alien = (F.length("text") >= LONG_ENOUGH) & (F.col(names[1]) < LEAST_COSINE)
+    n = F.col(names[2])
+    least = LEAST_COSINE * F.sqrt(n / (n + HALF_WAY)) - ALLOWANCE
     known = F.col(names[0]) != letter_profiles.UNKNOWN
-    return found.where(known & ~alien).select(*docs.columns)
+    return found.where(known & (F.col(names[1]) >= least)).select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
