@@ -533,7 +533,12 @@ def test_language_stage_at_every_length(spark):
         for i in range(120):
             rows.append((len(rows), " ".join(rng.permutation(text.split())[: 1 + i % 15]), lang))
     chinese = "中文的句子没有任何共同之处这是一个测试文本用来检查语言识别的效果如何我们希望它被拒绝因为没有学过"
-    russian = "Это текст на русском языке, в котором нет ни одной латинской буквы, и он должен уйти"
+    russian = (
+        "Это текст на русском языке, в котором нет ни одной латинской буквы, поэтому он не похож на "
+        "выученные языки. Чем длиннее страница, тем меньше случайное сходство мешает это заметить: "
+        "короткие строки судить трудно, а здесь уже достаточно разных сочетаний соседних букв, чтобы "
+        "отличить чужую письменность от знакомой и убрать документ из корпуса."
+    )
     aliens = [chinese, chinese * 8, "Αυτό είναι ένα κείμενο στα ελληνικά", russian]
     rows += [(1000 + i, t, None) for i, t in enumerate([*aliens, None, "", "123 !!"])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
