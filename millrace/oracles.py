@@ -133,6 +133,31 @@ def _checksums() -> str:
     return " union all ".join(parts)
 
 
+def _digests() -> str:
+    """Rows and order-free digest of each table: word-wise sums of the MD5s of its rows' text."""
+    words = [
+        f"sum(('0x' || substr(m, {1 + 8 * i}, 8))::bigint) % 4294967296" for i in range(4)
+    ]
+    digest = " || ".join(f"printf('%08x', ({w})::bigint)" for w in words)
+    parts = []
+    for name, columns in fx.PLAIN_COLUMNS.items():
+        line = " || ',' || ".join(columns)
+        parts.append(f"select '{name}' as dataset, md5({line}) as m from {name}")
+    rows = " union all ".join(parts)
+    return (
+        f"with found as (select dataset, count(*) as row_count, {digest} as content_digest "
+        f"from ({rows}) group by dataset) select * from found "
+        "union all select 'landed ' || dataset, row_count, content_digest from found"
+    )
+
+
+_KEPT_ORDERS = """
+    select o_orderpriority, strlen(t) as file_size_bytes, md5(t) as checksum from (
+      select o_orderpriority, 'o_orderkey,o_custkey,o_orderstatus' || chr(10) || string_agg(
+        o_orderkey || ',' || o_custkey || ',' || o_orderstatus || chr(10), '' order by o_orderkey) as t
+      from orders group by o_orderpriority)
+"""
+
 ORACLES: dict[str, str] = {
     "scan_parquet": f"select {_ORDERS} from orders",
     "scan_csv": f"select {', '.join(_LINE_COLUMNS)} from lineitem",
@@ -146,6 +171,18 @@ ORACLES: dict[str, str] = {
     "source_validation": "select n_nationkey, n_name, n_regionkey, "
     "exists (select 1 from supplier where s_nationkey = n_nationkey and s_acctbal < 0) as valid "
     "from nation",
+    "block_checksums": "select parse_filename(filename) as file_name, size as file_size_bytes, "
+    "(size - 1) // 262144 + 1 as blocks, md5(array_to_string(list_transform("
+    "range(0, (size - 1) // 262144 + 1), "
+    "lambda i: md5(unhex(substr(hex(content), i * 524288 + 1, 524288)))), '')) as block_checksum "
+    f"from read_blob('{CHECKED_DIR}/*.parquet')",
+    "content_digests": _digests(),
+    "landed_files": _KEPT_ORDERS,
+    "packed_log": _landed(
+        "select '{name}_20260131235958' as run_id, '{name}' as dataset_name, 'SUCCESS' as status, "
+        "count(*) as records_processed, '{name}.csv' as file_name from {name}"
+    )
+    + " union all select 'absent_20260131235958', 'absent', 'FAILED', 0, 'absent.csv'",
     "source_verdicts": "select n_nationkey, case when exists (select 1 from supplier "
     "where s_nationkey = n_nationkey and s_acctbal < 0) then 'ok' "
     "when n_regionkey = 1 then 'empty' else 'missing' end as verdict from nation",

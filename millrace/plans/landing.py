@@ -20,7 +20,13 @@ from millrace.operators.logrules import audit_rules, metadata_rules
 from millrace.session import drop_path, move_path, scratch_path
 from millrace.sinks.files import copy_files
 from millrace.sinks.logs import AUDIT_SCHEMA, FAILED, METADATA_SCHEMA, SUCCESS, append_record
-from millrace.sources.csv_ranges import csv_file_facts, range_facts, read_records, record_spans
+from millrace.sources.csv_ranges import (
+    RANGE_BYTES,
+    csv_file_facts,
+    range_facts,
+    read_records,
+    record_spans,
+)
 from millrace.sources.files import with_checksums
 from millrace.sources.listing import OK, list_sources, source_verdicts
 from millrace.sources.readers import CSV_READ_OPTIONS, LOAD_DATE, all_strings, read_table
@@ -97,7 +103,8 @@ def _inspect(spark: SparkSession, contract: Dataset) -> _Source:
     if verdict["verdict"] != OK:
         raise LandingError(f"source is {verdict['verdict']}: {contract.source_path}")
     scratch = None
-    ranges = range_facts(listed)
+    expected = verdict["files"] + verdict["file_size_bytes"] // RANGE_BYTES
+    ranges = range_facts(listed, expected=expected)
     if contract.multiline:
         scratch = scratch_path(spark, f"ranges-{contract.name}")
         ranges.write.parquet(scratch)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import UTC, date, datetime
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +114,25 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.file_manifest(spark, sf_dir, "*.parquet")
 
 
+@query
+def block_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.block_manifest(spark, sf_dir, "*.parquet", block_bytes=1 << 18)
+
+
+@query
+def content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What identifies a table's rows, before and after they have been landed."""
+    root = scratch_path(spark, "digests")
+    parts = []
+    for name, columns in fx.PLAIN_COLUMNS.items():
+        rows = table(spark, sf_dir, name).select(*columns)
+        parts.append(profiles.content_digest(rows, name))
+        contract = replace(fx.RELATIONAL[name], schema=rows.schema)
+        landed = _landed(spark, contract, export_csv(rows, f"{root}/{name}.csv"), f"{root}/{name}")
+        parts.append(profiles.content_digest(landed, f"landed {name}"))
+    return reduce(DataFrame.union, parts)
+
+
 @query
 def source_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is there a file of indebted suppliers for each nation?"""
@@ -458,6 +478,36 @@ def landed_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, replace(fx.DOCUMENTS, multiline=True), source, root)
 
 
+@query
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and MD5 of source files of orders, one per priority, after they were landed as received."""
+    root = scratch_path(spark, "kept")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+    orders = table(spark, sf_dir, "orders").select(*columns)
+    orders = orders.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey")
+    source = export_csv(orders, f"{root}/source", "o_orderpriority")
+    contract = replace(
+        fx.ORDERS, source_path=source, bronze_path=f"{root}/bronze", keep_files=True
+    )
+    where = landing.Logs(f"{root}/metadata", f"{root}/audit")
+    landing.land(spark, contract, where, clock=lambda: RUN_TIME)
+    priority = F.regexp_extract("file_name", "^o_orderpriority=(.*)__", 1)
+    found = files.file_manifest(spark, contract.bronze_path)
+    return found.select(priority.alias("o_orderpriority"), "file_size_bytes", "checksum")
+
+
+@query
+def packed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit log of several landings after its folders were packed into one file."""
+    where = _land_tables(spark, sf_dir)
+    for _ in range(2):
+        logs.pack_log(
+            spark, where.audit, logs.AUDIT_SCHEMA, F.to_date("start_time"), date(2026, 2, 1)
+        )
+    log = logs.read_log(spark, where.audit, logs.AUDIT_SCHEMA)
+    return log.select("run_id", "dataset_name", "status", "records_processed", "file_name")
+
+
 @query
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a run: its identifier, load date and duration."""

@@ -92,10 +92,13 @@ def tasks(ranges: int) -> int:
     return max(1, min(ranges, 4096), ranges // 4)
 
 
-def file_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def file_ranges(
+    files: DataFrame, range_bytes: int = RANGE_BYTES, expected: int | None = None
+) -> DataFrame:
     """(source, file, file_size_bytes, part, start, end): the ranges of the files that hold bytes.
 
-    Starts a job to learn how many tasks these are worth.
+    Starts a job to learn how many tasks these are worth, unless about how many
+    ranges to expect is known.
     """
     parts = F.expr(f"sequence(0L, (file_size_bytes - 1) div {range_bytes}L)")
     ranges = files.where("file_size_bytes > 0").select(
@@ -107,11 +110,14 @@ def file_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
         start.alias("start"),
         F.least(start + range_bytes, F.col("file_size_bytes")).alias("end"),
     )
-    return ranges.repartition(tasks(ranges.count()))
+    return ranges.repartition(tasks(ranges.count() if expected is None else expected))
 
 
 def range_facts(
-    files: DataFrame, delimiter: str = ",", range_bytes: int = RANGE_BYTES
+    files: DataFrame,
+    delimiter: str = ",",
+    range_bytes: int = RANGE_BYTES,
+    expected: int | None = None,
 ) -> DataFrame:
     """Per byte range of (source, file, file_size_bytes): checksum, decoding, header and state maps.
 
@@ -161,7 +167,7 @@ def range_facts(
             for row in batch.to_pylist():
                 yield pa.RecordBatch.from_pylist([facts(row)], schema=schema)
 
-    return file_ranges(files, range_bytes).mapInArrow(run, _FACTS)
+    return file_ranges(files, range_bytes, expected).mapInArrow(run, _FACTS)
 
 
 def with_state(facts: DataFrame) -> DataFrame:

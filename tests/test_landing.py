@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 import subprocess
 import sys
 from datetime import UTC, date, datetime, timedelta
@@ -16,6 +17,7 @@ from millrace.errors import ContractError, LandingError
 from millrace.functions.digests import combined_md5
 from millrace.functions.runs import duration_seconds, new_run_id, run_id
 from millrace.operators.logrules import audit_rules, metadata_rules, violations
+from millrace.operators.profiles import content_digest
 from millrace.plans import landing
 from millrace.plans.landing import Logs, land, land_all, read_raw
 from millrace.plans.reports import already_loaded, duplicate_loads, run_outcomes, run_totals
@@ -27,7 +29,8 @@ from millrace.sinks.logs import (
     pack_log,
     read_log,
 )
-from millrace.sources.files import check_sources, file_manifest
+from millrace.sources import csv_ranges
+from millrace.sources.files import block_manifest, check_sources, file_manifest
 from millrace.sources.readers import read_bronze
 
 SCHEMA = struct(
@@ -287,6 +290,29 @@ def test_manifest_of_small_and_large_files(spark, root):
     assert [r.file_name for r in known.collect()] == [found[0].file_name]
 
 
+@pytest.mark.parametrize("block", [1000, 7919, 1 << 20])
+def test_block_checksums_depend_on_the_block_size_alone(spark, root, block):
+    data = random.Random(1).randbytes(20_000)
+    Path(f"{root}/a.bin").write_bytes(data)
+    parts = [hashlib.md5(data[i : i + block]).hexdigest() for i in range(0, len(data), block)]
+    expected = (len(data), len(parts), hashlib.md5("".join(parts).encode()).hexdigest())
+    [row] = block_manifest(spark, root, "*.bin", block).collect()
+    assert (row.file_size_bytes, row.blocks, row.block_checksum) == expected
+
+
+def test_content_digest_knows_no_order(spark):
+    rows = [(1, "a,b"), (2, None), (2, ""), (3, 'say "x"\n'), (3, 'say "x"\n')]
+
+    def digest(values, parts=1):
+        df = spark.createDataFrame(values, "n int, s string").repartition(parts)
+        return tuple(content_digest(df, "t").first())
+
+    whole = digest(rows)
+    assert whole[:2] == ("t", 5) and len(whole[2]) == 32
+    assert digest(rows[::-1], 3) == whole
+    assert len({digest(rows[:i])[2] for i in range(6)}) == 6 and digest([])[2] is None
+
+
 def test_combined_md5_has_no_order_and_no_cancelling(spark):
     one = hashlib.md5(b"x").hexdigest()
     two = hashlib.md5(b"y").hexdigest()
@@ -389,7 +415,8 @@ def test_quotes_in_plain_text_are_characters(spark, lake):
 
 def test_multiline_source_in_ranges(spark, lake, monkeypatch):
     """Cut in the middle of quoted text, a source lands as by one task; long rows still fail."""
-    monkeypatch.setattr("millrace.sources.csv_ranges.file_ranges.__defaults__", (40,))
+    small = lambda listed, **more: csv_ranges.range_facts(listed, range_bytes=40)
+    monkeypatch.setattr(landing, "range_facts", small)
     rows = [f'{i},"line one of {i}\r\nline ""two"", of {i}\n",{i}' for i in range(60)]
     contract = lake("text", "id,name,v\n" + "\n".join(rows) + '\n60,"",\n61,x\n', multiline=True)
     content = Path(contract.source_path).read_bytes()
