@@ -6,20 +6,18 @@ row counts. Neighbours on the curve agree in all columns, so that the files of
 a shard hold narrow ranges of each and readers can skip by any of them.
 
 Positions are exact and need no task that sees all rows: narrow rows (no text)
-are range-partitioned by curve index and numbered within their partition in a
-scratch table, and a partition's first position is the sum of the sizes before
-it, a number per partition.
+are range-partitioned by curve index and numbered within their partition.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import Scratch
+from llm.common import Scratch, in_order
 
 BITS = 6
 DIMENSIONS = ("source", "lang", "n_chars")
@@ -53,31 +51,48 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """A column as a number in its own order: the first six bytes of a string."""
-    column = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(column, "utf-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return column.cast("double")
+def _string_cuts(df: DataFrame, name: str, bits: int, scratch: Scratch) -> list[str]:
+    """The least string of each cell when the distinct ones are dealt evenly, in their order.
+
+    Few strings have a cell each; cell 0 is left to NULL. The driver gets one
+    string per cell.
+    """
+    cells = (1 << bits) - 1
+    distinct = df.select(F.col(f"`{name}`").alias("value")).where("value is not null").distinct()
+    ranked = in_order(distinct, [F.asc("value")], "place", scratch)
+    cell = F.floor(F.col("place") * cells / max(cells, distinct.count()))
+    least = ranked.groupBy(cell.alias("cell")).agg(F.min("value").alias("value")).collect()
+    return sorted(r.value for r in least)
 
 
-def with_curve_index(df: DataFrame, dimensions: tuple[str, ...], bits: int = BITS) -> DataFrame:
-    """`df` (saved; read twice) with `curve`; NULL and NaN lie in cell 0 of their dimension."""
+def with_curve_index(
+    df: DataFrame, dimensions: tuple[str, ...], scratch: Scratch, bits: int = BITS
+) -> DataFrame:
+    """`df` (saved; read several times) with `curve`; NULL and NaN lie in cell 0 of their dimension.
+
+    Numbers are cut at their quantiles, strings at every so many distinct ones.
+    """
+    texts = [d for d in dimensions if isinstance(df.schema[d].dataType, T.StringType)]
+    numbers = {d: F.nanvl(F.col(f"`{d}`").cast("double"), F.lit(None)) for d in dimensions if d not in texts}
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
-    numbers = {d: F.nanvl(_number(df, d), F.lit(None)) for d in dimensions}
-    cuts = df.agg(*[F.percentile_approx(numbers[d], share, ACCURACY).alias(d) for d in dimensions])
-    cuts = [sorted(set(c or [])) for c in cuts.first()]
+    found = [F.percentile_approx(c, share, ACCURACY).alias(d) for d, c in numbers.items()]
+    cuts = df.agg(F.lit(0), *found).first().asDict()
+    cuts |= {d: _string_cuts(df, d, bits, scratch) for d in texts}
+    cuts = [sorted(set(cuts[d] or [])) for d in dimensions]
 
     @F.pandas_udf("long")
     def curve(*columns: pd.Series) -> pd.Series:
-        cells = [
-            np.where(c.isna(), 0, np.searchsorted(cut, c.fillna(-np.inf), "right"))
-            for c, cut in zip(columns, cuts, strict=True)
-        ]
+        cells = []
+        for values, cut in zip(columns, cuts, strict=True):
+            known = values.notna().to_numpy()
+            kind = object if cut and isinstance(cut[0], str) else np.float64
+            own = values[known].to_numpy(kind)
+            cells.append(np.zeros(len(values), np.int64))
+            cells[-1][known] = np.searchsorted(np.array(cut, kind), own, "right")
         return pd.Series(hilbert_index(np.stack(cells, axis=1), bits))
 
-    return df.withColumn("curve", curve(*numbers.values()))
+    inputs = [F.col(f"`{d}`") if d in texts else numbers[d] for d in dimensions]
+    return df.withColumn("curve", curve(*inputs))
 
 
 def sharded(
@@ -89,11 +104,13 @@ def sharded(
     """(doc_id, size, text_crc32, curve, position, shard, slot) of every row.
 
     `docs` has doc_id, text and the dimensions. size: bytes of the text plus 1.
-    Shards are runs of the curve whose row counts differ by one at most; of
-    rows in one cell the order is by a hash of the text, so that equal texts
-    lie together, then by doc_id (NULL first). NULL texts have size 1 and the
-    checksum of the empty text. Repeated rows are rows of their own; an empty
-    table gives no rows.
+    Shards are runs of the curve whose row counts differ by one at most. Equal
+    texts have one index, the least of their rows', and are neighbours, ordered
+    by a hash of the text and then by doc_id (NULL first): what the equal row
+    counts part is the group of equal texts at each of the cuts between shards,
+    and one larger than a shard. NULL texts have size 1 and the checksum of the
+    empty text, with which they are equal. Repeated rows are rows of their own;
+    an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, label)
     raw = F.encode(F.coalesce("text", F.lit("")), "utf-8")
@@ -101,29 +118,25 @@ def sharded(
         "doc_id",
         (F.octet_length(raw).cast("long") + 1).alias("size"),
         F.crc32(raw).alias("text_crc32"),
+        F.xxhash64(raw).alias("text_hash"),
         *[F.col(d) for d in dimensions if d != "doc_id"],
     )
     narrow = scratch.save(narrow)
-    placed = with_curve_index(narrow, dimensions)
-    placed = placed.select("doc_id", "size", "text_crc32", "curve")
-    order = ["curve", "text_crc32", "doc_id", "size"]
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = placed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    # The id holds the partition's number above 33 bits and the row's number in it below.
-    placed = scratch.save(placed.withColumn("at", F.monotonically_increasing_id()))
+    columns = ["doc_id", "size", "text_crc32", "text_hash", "curve"]
+    placed = scratch.save(with_curve_index(narrow, dimensions, scratch).select(*columns))
     scratch.drop(narrow)
-    part = F.shiftright("at", 33).alias("part")
-    sizes = dict(placed.groupBy(part).count().collect())
-    first, total = {}, 0
-    for number in sorted(sizes):
-        first[number], total = total, total + sizes[number]
-    starts = docs.sparkSession.createDataFrame(list(first.items()), "part long, first long")
-    placed = placed.withColumn("part", part).join(F.broadcast(starts), "part")
-    position = F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)
+    equal = ["text_hash", "text_crc32", "size"]
+    least = placed.groupBy(*equal).agg(F.min("curve").alias("least"), F.count("*").alias("copies"))
+    # Written, so that Spark knows the size of what it joins.
+    least = scratch.save(least.where("copies > 1").drop("copies"))
+    placed = placed.join(least, equal, "left")
+    placed = placed.withColumn("curve", F.coalesce("least", "curve")).select(*columns)
+    order = [F.col(c) for c in ("curve", "text_hash", "text_crc32", "size", "doc_id")]
+    placed = in_order(placed, order, "position", scratch)
+    total = placed.count()
     # The first total % shards shards hold a row more than the others.
     small, larger = divmod(total, shards)
     edge = larger * (small + 1)
-    placed = placed.withColumn("position", position)
     after = F.col("position") - edge
     divisor = max(1, small)
     shard = F.when(after < 0, F.floor(F.col("position") / (small + 1))).otherwise(

@@ -281,6 +281,34 @@ def test_op4(spark, documents):
     assert [zlib.crc32(t.encode()) for t in texts] == found.text_crc32.tolist()
 
 
+def test_op4_equal_texts_are_neighbours(spark, documents):
+    """Only the cuts between shards part equal texts, and one group each."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = hilbert_shards.sharded(docs).toPandas().sort_values("position")
+    found["text"] = found.doc_id.map(documents.set_index("doc_id").text)
+    runs = (found.text != found.text.shift()).sum()
+    assert runs == found.text.nunique() < len(found)
+    assert (found.groupby("text").curve.nunique() == 1).all()
+    parted = (found.groupby("text").shard.nunique() > 1).sum()
+    assert parted <= 7
+
+
+def test_op4_strings_are_told_apart_as_wholes(spark):
+    """Sources that share a long beginning have cells of their own, in order, frequent or not."""
+    names = [f"https://example.org/a/long/beginning/{i:03}" for i in range(40)] + [None]
+    rows = [(i, f"text {i}", names[min(40, i % 60)], "en", 7) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    scratch = Scratch(spark, "t")
+    cuts = hilbert_shards._string_cuts(docs, "source", 6, scratch)
+    assert cuts == names[:40]
+    # Seven cells of forty strings: each starts at the first place that is its share.
+    starts = [names[math.ceil(40 * c / 7)] for c in range(7)]
+    assert hilbert_shards._string_cuts(docs, "source", 3, scratch) == starts
+    one = hilbert_shards.with_curve_index(docs.select("doc_id", "source"), ("source",), scratch).toPandas()
+    cells = dict(zip(one.source, one.curve, strict=True))
+    assert [cells[n] for n in [None, *names[:40]]] == list(range(41))
+
+
 def test_op4_curve_is_a_path():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
     index = hilbert_shards.hilbert_index(cells, 3)
