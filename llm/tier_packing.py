@@ -39,7 +39,7 @@ STEP_GROUPS = 64
 # Remainders in a task's pool: it is packed down to the first number when it reaches the second.
 POOL = (1024, 4096)
 # Words whose ids a worker remembers, and how many are encoded at once.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 TOGETHER = 200
 # Texts whose words are looked up at once.
 TEXTS = 4096
