@@ -167,17 +167,9 @@ def source_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def csv_records_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read from CSV files that are cut inside quoted text as often as not."""
-    root = scratch_path(spark, "ranges")
-    source = export_csv(table(spark, sf_dir, "documents"), f"{root}/documents")
-    listed = listing.list_sources(spark, {"documents": source})
-    facts = csv_ranges.range_facts(listed, range_bytes=1 << 16)
-    facts.write.parquet(f"{root}/facts")
-    facts = spark.read.schema(facts.schema).parquet(f"{root}/facts")
-    records = csv_ranges.read_records(csv_ranges.record_spans(facts))
-    names = fx.DOCUMENTS.schema.names
-    text = ", ".join(f"`{n}` string" for n in names)
-    raw = records.select(F.from_csv("record", text, {"escape": '"'}).alias("fields"))
-    return schema.enforce_schema(raw.select("fields.*"), fx.DOCUMENTS.schema, "documents")
+    source = export_csv(table(spark, sf_dir, "documents"), scratch_path(spark, "ranges"))
+    raw = csv_ranges.read_csv_in_ranges(spark, source, range_bytes=1 << 16)
+    return schema.enforce_schema(raw, fx.DOCUMENTS.schema, "documents")
 
 
 # Schema, casts, names

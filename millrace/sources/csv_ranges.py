@@ -24,11 +24,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from millrace.errors import ReadError
+from millrace.session import scratch_path
+from millrace.sources.listing import list_sources
+from millrace.sources.readers import CSV_READ_OPTIONS
 from millrace.sources.stores import Opener, store_opener
 
 # Bytes of a range. The block checksum depends on it, so it is a fixed value.
@@ -124,7 +128,7 @@ def range_facts(
     out0, out1: the state at the end if the range starts outside or inside
     quotes. first0, first1: where its first record start would be. breaks0,
     breaks1: whether a line end would lie inside quotes. header_md5: of the
-    file's first record, without quotes and in lower case; NULL but in the
+    file's first record (as far as the range goes), without quotes and in lower case; NULL but in the
     first range. Costs one read of all bytes; write it before using it twice.
     """
     spark = files.sparkSession
@@ -269,3 +273,47 @@ def read_records(spans: DataFrame, delimiter: str = ",") -> DataFrame:
                 yield from records(row)
 
     return spans.repartition(tasks(spans.count())).mapInArrow(run, "record string")
+
+
+def read_csv_in_ranges(
+    spark: SparkSession, path: str, delimiter: str = ",", range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """The CSV file or folder at `path` as text columns, line breaks in quotes and all, in parallel.
+
+    Named by the header of its first file. What the ranges say is written to the
+    scratch folder first, as it is needed to cut the files when the rows are read.
+    Raises if a file ends inside quotes, is no UTF-8, or differs in its header.
+    """
+    listed = list_sources(spark, {path: path})
+    facts = range_facts(listed, delimiter, range_bytes)
+    written = scratch_path(spark, "csv-ranges")
+    facts.write.parquet(written)
+    facts = spark.read.schema(facts.schema).parquet(written)
+    found = (
+        csv_file_facts(facts)
+        .agg(
+            F.min("file").alias("first_file"),
+            F.min(F.when(~F.col("is_utf8"), F.col("file"))).alias("encoding"),
+            F.min(F.when(F.col("open_quote"), F.col("file"))).alias("open_quote"),
+            (F.min("header_md5") == F.max("header_md5")).alias("one_header"),
+        )
+        .first()
+    )
+    if found["first_file"] is None:
+        raise ReadError(f"no file with a byte at {path}")
+    if found["encoding"] or found["open_quote"]:
+        wrong = "is not UTF-8" if found["encoding"] else "ends inside quotes"
+        raise ReadError(f"{found['encoding'] or found['open_quote']} {wrong}")
+    if not found["one_header"]:
+        raise ReadError(f"the files at {path} differ in their headers")
+    names = (
+        spark.read.options(**CSV_READ_OPTIONS, multiLine=True, sep=delimiter)
+        .csv(found["first_file"])
+        .columns
+    )
+    fields = ", ".join(f"c{i} string" for i in range(len(names)))
+    parsed = F.from_csv("record", fields, {"escape": '"', "sep": delimiter}).alias("fields")
+    records = read_records(record_spans(facts), delimiter).select(parsed)
+    return records.select(
+        *[F.col("fields")[f"c{i}"].alias(name) for i, name in enumerate(names)]
+    )
