@@ -6,7 +6,8 @@ pairs of fingerprints that differ in at most `errors` bits, found without loss:
 1. The bits are reordered so that the most even ones lead, then the trie's top
    `split` levels are laid out as subtrees. A pair of subtrees whose prefixes
    differ in at most `errors` bits is one unit of work, so a fingerprint is
-   copied to a fixed number of units.
+   copied to as many units as there are prefixes so near: for 3 errors 15 at 4
+   levels, 378 at 13.
 2. A unit walks the two subtrees together from their roots. A pair of nodes
    holds the bits in which their prefixes differ; it is dropped as soon as they
    exceed `errors`. Small pairs of nodes are compared outright.
