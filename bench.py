@@ -22,6 +22,7 @@ from millrace.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "scan_csv",
     "csv_quoted_text",
+    "csv_records_in_ranges",
     "enforce_schema",
     "lenient_casts",
     "cast_failures",
@@ -39,6 +40,8 @@ HEADLINE = (
     "table_profile",
     "landing_metadata",
     "landed_rows",
+    "landed_multiline",
+    "landed_files",
     "metadata_violations",
     "duplicate_content",
     "publish_overwrite",
@@ -47,6 +50,8 @@ HEADLINE = (
     "silver_job",
     "incremental_landing",
     "incremental_merge",
+    "incremental_unique",
+    "incremental_orphans",
 )
 
 
