@@ -38,10 +38,39 @@ SPACE = r"\p{White_Space}"
 SEGMENTS = regex.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 BOUNDARY = regex.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])")
 LAST_BOUNDARY = regex.compile(rf"(?r)(?<=[^{SPACE}])(?=[{SPACE}])")
-# Fixed: how the vocabulary's files split text into words.
-WORDS = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
-    rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+# Characters (hexadecimal) that newer tables class as letters or numbers, and this
+# package's expressions with them, but the vocabulary's library as neither.
+NEITHER = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D "
+    "107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 "
+    "1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 16FF4-16FF6 "
+    "187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 "
+    "1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 "
+    "1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD "
+    "323B0-33479 3D000-3FC3F "
+)
+
+
+def _words(letter: str, number: str, other: str) -> regex.Pattern:
+    """Fixed: how the vocabulary's files split text into words."""
+    return regex.compile(
+        rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?{other}+"
+        rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+    )
+
+
+def _classed_apart() -> str:
+    ends = [r.split("-") for r in NEITHER.split()]
+    return "".join(f"\\U{int(e[0], 16):08x}-\\U{int(e[-1], 16):08x}" for e in ends)
+
+
+WORDS = _words(r"\p{L}", r"\p{N}", rf"[^{SPACE}\p{{L}}\p{{N}}]")
+# The same for texts with such characters, which is slower.
+APART = regex.compile(f"[{_classed_apart()}]")
+WORDS_APART = _words(
+    rf"[\p{{L}}--[{_classed_apart()}]]",
+    rf"[\p{{N}}--[{_classed_apart()}]]",
+    rf"[[^{SPACE}\p{{L}}\p{{N}}]||[{_classed_apart()}]]",
 )
 
 
@@ -129,7 +158,8 @@ class Counter:
             parts = self.special.split(segment)
             total = len(parts) - 1
         for part in parts:
-            for word in WORDS.findall(part):
+            words = WORDS if part.isascii() or not APART.search(part) else WORDS_APART
+            for word in words.findall(part):
                 total += self.transducer.count(utf8(word))
         return total
 

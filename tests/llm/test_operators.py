@@ -605,3 +605,19 @@ def test_op2_equals_plain_profiles(spark):
         best = max(sorted(cosines), key=cosines.get) if own.any() else "und"
         assert row.lang == best and abs(row.score - max(0, cosines.get(best, 0))) < 1e-4
         assert (row.n > 0) == own.any()
+
+
+def test_op5_characters_that_are_classed_apart():
+    """Characters that newer tables take as letters or numbers count as the library has them."""
+    path = public_tokenizers.path(token_transducer.VOCABULARY)
+    own, library = token_transducer.counter(path), Tokenizer.from_file(path)
+    ranges = [r.split("-") for r in token_transducer.NEITHER.split()]
+    codes = [c for r in ranges for c in range(int(r[0], 16), int(r[-1], 16) + 1)]
+    rng = np.random.default_rng(15)
+    others = [int(c) for c in rng.integers(0, 0x110000, 3000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{c}'s {c}!1{c}  {c}{c} x" for c in map(chr, [*codes[::7], *others])]
+    pool = [*map(chr, codes[::50]), *map(chr, others[:300]), *"ab1 '\n\ts"]
+    texts += ["".join(rng.choice(pool, rng.integers(0, 25))) for _ in range(3000)]
+    expected = library.encode_batch(texts, add_special_tokens=False)
+    for text, found in zip(texts, expected, strict=True):
+        assert own.count(text) == len(found.ids), ascii(text)
