@@ -38,7 +38,7 @@ TIERS = (512, 1024, 2048, 4096)
 STEP_GROUPS = 64
 # Remainders in a task's pool: it is packed down to the first number when it reaches the second.
 POOL = (1024, 4096)
-# Words whose ids a worker remembers, and how many are encoded at once.
+# Stems whose ids a worker remembers, and how many are encoded at once.
 CACHE_WORDS = 300_000
 TOGETHER = 200
 # Texts whose words are looked up at once.
@@ -53,13 +53,15 @@ class WordIds:
     """Token ids of texts. White space separates tokens and has none, so words are encoded alone.
 
     A word is a stem and the ASCII punctuation behind it, which the vocabulary's
-    rules always part, so that a stem is encoded once for all its endings.
+    rules always part, so that a stem is encoded once for all its endings. The
+    stems met last are remembered in two halves: a full half takes the place of
+    the other, whose stems are forgotten unless they were met again meanwhile.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters: dict[str, bool] = {}
 
     def _alone(self, text: str) -> bytes:
@@ -75,27 +77,37 @@ class WordIds:
         raw = np.array(found.ids, "<u4").tobytes()
         return [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
 
-    def _learn(self, missing: list[str]) -> None:
-        split = {w: self._split(w) for w in missing}
-        new = list({p for parts in split.values() for p in parts}.difference(self.parts))
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, remembered or encoded."""
+        found = list(map(self.recent.get, parts))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        for i in gaps:
+            found[i] = self.older.get(parts[i])
+        new = [i for i in gaps if found[i] is None]
         for at in range(0, len(new), TOGETHER):
             block = new[at : at + TOGETHER]
-            self.parts.update(zip(block, self._together(block), strict=True))
-        known = self.parts
-        for word, parts in split.items():
-            self.words[word] = known[parts[0]] + (known[parts[1]] if len(parts) > 1 else b"")
-
-    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            for i, ids in zip(block, self._together([parts[i] for i in block]), strict=True):
+                found[i] = ids
+        for i in gaps:
+            if len(self.recent) >= CACHE_WORDS // 2:
+                self.older, self.recent = self.recent, {}
+            self.recent[parts[i]] = found[i]
+        return found
+
+    def _flat(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words behind each other, and how many each has."""
-        missing = [w for w in words if w not in self.words]
-        if len(self.words) + len(missing) > CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
-            missing = words
-        self._learn(missing)
-        found = list(map(self.words.__getitem__, words))
+        stems, endings = self._split(words)
+        coded = stems.dictionary_encode()
+        kinds = list(dict.fromkeys(endings.values()))
+        found = [b"", *self._ids(_strings(coded.dictionary) + kinds)]
         lengths = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-        return np.frombuffer(b"".join(found), "<u4"), lengths
+        # Two parts of each word, the second one empty unless it has an ending.
+        parts = np.zeros((len(words), 2), np.int64)
+        parts[:, 0] = coded.indices.to_numpy() + 1
+        number = {ending: len(coded.dictionary) + 1 + i for i, ending in enumerate(kinds)}
+        parts[list(endings), 1] = [number[e] for e in endings.values()]
+        ids = _runs(np.frombuffer(b"".join(found), "<u4"), lengths, parts.reshape(-1))
+        return ids, lengths[parts].sum(axis=1)
 
     def __call__(self, texts: list[str | None], end: int = END) -> list[np.ndarray]:
         odd = [bool(_NOT_SPACE.search(t)) if t else False for t in texts]
@@ -103,13 +115,9 @@ class WordIds:
         lists = pc.utf8_split_whitespace(plain)
         coded = lists.flatten().dictionary_encode()
         index = coded.indices.to_numpy()
-        flat, lengths = self._flat(coded.dictionary.to_pylist())
-        sizes = lengths[index]
-        # Where each occurrence's ids begin in `flat`, stepped through id by id.
-        begin = (np.cumsum(lengths) - lengths)[index]
-        before = np.cumsum(sizes) - sizes
-        ids = flat[np.repeat(begin - before, sizes) + np.arange(int(sizes.sum()))]
-        edges = np.concatenate([[0], np.cumsum(sizes)])[lists.offsets.to_numpy()]
+        flat, lengths = self._flat(coded.dictionary)
+        ids = _runs(flat, lengths, index)
+        edges = np.concatenate([[0], np.cumsum(lengths[index])])[lists.offsets.to_numpy()]
         tail = np.array([end], "<u4")
         out = []
         for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
@@ -117,21 +125,31 @@ class WordIds:
             out.append(np.concatenate([own, tail]))
         return out
 
-    def _split(self, word: str) -> tuple[str, ...]:
-        """The stem and the ending of a word, or the word alone where they are not sure to be parted."""
-        stem = word.rstrip(PUNCTUATION)
-        if not stem or "<|" in word or not self._ends_a_token(stem[-1]):
-            return (word,)
-        ending = word[len(stem) :]
-        stem = stem.lower() if stem.isascii() else stem
-        return (stem, ending) if ending else (stem,)
+    def _split(self, words: pa.Array) -> tuple[pa.Array, dict[int, str]]:
+        """The stem of each word and, by its place, the ending of those that have one.
+
+        A word is its own stem where the two are not sure to be parted.
+        """
+        stems = pc.utf8_rtrim(words, PUNCTUATION)
+        last = pc.utf8_slice_codeunits(stems, -1).dictionary_encode()
+        ends = pa.array([self._ends_a_token(c) for c in last.dictionary.to_pylist()], pa.bool_())
+        parted = pc.and_not(ends.take(last.indices), pc.match_substring(words, "<|"))
+        small = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(stems)).to_numpy()
+        at = np.flatnonzero((cut > 0) & parted.to_numpy(zero_copy_only=False))
+        ended = _strings(words.take(pa.array(at)))
+        endings = {i: w[-n:] for i, w, n in zip(at.tolist(), ended, cut[at].tolist(), strict=True)}
+        return pc.if_else(parted, small, words), endings
 
     def _ends_a_token(self, letter: str) -> bool:
         """Whether the vocabulary's rules part punctuation from this character before it.
 
         They are asked: some letters they take apart into a letter and a mark,
-        which goes with the punctuation, and not all know the same letters.
+        which goes with the punctuation, and not all know the same letters. No
+        character before it, as in a word of punctuation alone: nothing to part.
         """
+        if not letter:
+            return False
         if letter not in self.letters:
             text = self.tokenizer.normalizer.normalize_str(f"{letter}!")
             parts = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
@@ -139,6 +157,20 @@ class WordIds:
         return self.letters[letter]
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """A column without NULL as a list, which Arrow makes at once only by way of an array of objects."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _runs(flat: np.ndarray, lengths: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The runs that `flat` is made of, of these lengths, in the order of `index`."""
+    sizes = lengths[index]
+    begin = (np.cumsum(lengths) - lengths)[index]
+    # Where each run begins in `flat`, stepped through id by id.
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(begin - before, sizes) + np.arange(int(sizes.sum()))]
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)

@@ -525,6 +525,24 @@ def test_op3_ids_of_all_characters():
         assert ids.tolist() == [*found.ids, tier_packing.END], ascii(text)
 
 
+def test_op3_frequent_stems_stay_remembered(monkeypatch):
+    """Rare words pass through a full memory without costing the frequent ones theirs."""
+    monkeypatch.setattr(tier_packing, "CACHE_WORDS", 100)
+    path = public_tokenizers.path(tier_packing.VOCABULARY)
+    own, library = tier_packing.WordIds(path), Tokenizer.from_file(path)
+    encoded, together = [], own._together
+    monkeypatch.setattr(own, "_together", lambda parts: encoded.extend(parts) or together(parts))
+    letters = "abcdefghij"
+    for i in range(60):
+        rare = " ".join(f"z{letters[i // 10]}{letters[i % 10]}{c}{d}" for c in "klm" for d in letters)
+        text = f"The frequent, frequent! word {rare}"
+        [ids] = own([text])
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+        assert len(own.recent) + len(own.older) <= 100
+    assert encoded.count("frequent") == encoded.count("word") == 1
+    assert len(encoded) < 60 * 30 + 10
+
+
 def test_op9_texts_together_equal_texts_alone(monkeypatch):
     """Which texts are looked up at once, and what is kept, changes no signature."""
     rng = np.random.default_rng(13)
